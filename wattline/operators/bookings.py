@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.functions.timecols import dates_between, hours_of_day, shift
-from wattline.operators.lookup import fits_broadcast, lookup_join
+from wattline.operators.lookup import fits_broadcast, lookup_join, settle
 
 # Which bookings count.
 BOOKING_TYPE = "tenant"
@@ -43,12 +43,21 @@ class Period:
     def first(self) -> Column:
         return F.date_sub(self.last, self.days)
 
+    @property
+    def second(self) -> Column:
+        return F.date_add(self.first, 1)
+
     @property
     def words(self) -> range:
         """Indices of the bitmap words that hold one bit per date."""
         return range(self.days // _BITS + 1)
 
 
+def _midnight(df: DataFrame, column: str, day: Column) -> Column:
+    """Start of a day in the type of a column, so that a comparison with it reaches the scan."""
+    return day.cast(df.schema[column].dataType)
+
+
 def local_bounds(df: DataFrame, start: str, end: str) -> DataFrame:
     """Shift a stored start and end by the fixed hours."""
     return df.withColumns(
@@ -65,8 +74,8 @@ def current_bookings(bookings: DataFrame, period: Period, order_id: int | None =
         (F.col("order_type_c") == BOOKING_TYPE)
         & F.col("status_c").isin(BOOKING_STATES)
         & (F.datediff("check_out_date", "check_in_date") > MIN_STAY_DAYS)
-        & (F.to_date("check_out_date") >= period.last)
-        & (F.to_date("check_in_date") <= period.first)
+        & (F.col("check_out_date") >= _midnight(bookings, "check_out_date", period.last))
+        & (F.col("check_in_date") < _midnight(bookings, "check_in_date", period.second))
     )
     if order_id is not None:
         picked = picked.filter(F.col("id") == order_id)
@@ -78,7 +87,8 @@ def current_bookings(bookings: DataFrame, period: Period, order_id: int | None =
 def live_extensions(extensions: DataFrame, period: Period) -> DataFrame:
     """Extensions that are not canceled and were created since the window began."""
     picked = extensions.filter(
-        (F.col("status_c") != CANCELED) & (F.to_date("created_at") >= period.first)
+        (F.col("status_c") != CANCELED)
+        & (F.col("created_at") >= _midnight(extensions, "created_at", period.first))
     )
     return local_bounds(picked, "start_date", "end_date")
 
@@ -256,10 +266,10 @@ def booked_windows(
     """Per kept booking and space one distinct row with names, room and its extension bitmap.
 
     A booking is dropped when its rows on extension days, over all its history rows, reach 15.
-    When the current bookings are measured small, the other tables are cut down to them by a
-    broadcast semi join, so that none of them is shuffled whole.
+    The current bookings are settled once. When they measure small, the other tables are cut down
+    to them by a broadcast semi join, so that none of those is shuffled whole.
     """
-    current = current_bookings(bookings, period, order_id)
+    current = settle(current_bookings(bookings, period, order_id))
     extensions = live_extensions(extensions, period)
     if fits_broadcast(current.select("order_id", "user_id")):
         history = only_ids_of(history, current, "order_id", "order_id")

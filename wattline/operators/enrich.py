@@ -33,8 +33,12 @@ INVALID_TABLE = "INVALID_DEVICE"
 
 
 def flatten(parsed: DataFrame, struct: str = "data") -> DataFrame:
-    """Expand the parsed message and use snake-case names."""
-    return parsed.select(f"{struct}.*").withColumnsRenamed(SNAKE_NAMES)
+    """Expand the parsed message and use snake-case names.
+
+    ``inline`` in place of ``struct.*`` keeps later filters above the parser; pushed below it they
+    would parse every message once more per filtered field.
+    """
+    return parsed.select(F.inline(F.array(struct))).withColumnsRenamed(SNAKE_NAMES)
 
 
 def live(readings: DataFrame) -> DataFrame:

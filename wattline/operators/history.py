@@ -13,9 +13,7 @@ from wattline.schemas import HISTORY_RESPONSE, READING, SNAKE_NAMES, TRIPLE, WID
 def history_reads(responses: DataFrame, column: str = "value") -> DataFrame:
     """One row per read of each response; texts without ``data`` or that are not JSON give none."""
     return (
-        responses.select(F.from_json(column, HISTORY_RESPONSE).alias("response"))
-        .filter(F.col("response.data").isNotNull())
-        .select(F.explode("response.data.reads").alias("read"))
+        responses.select(F.explode(F.from_json(column, HISTORY_RESPONSE)["data"]["reads"]).alias("read"))
         .select("read.*")
         .withColumnsRenamed(SNAKE_NAMES)
         .withColumn("value", as_double(F.col("value")))
@@ -24,7 +22,11 @@ def history_reads(responses: DataFrame, column: str = "value") -> DataFrame:
 
 
 def wide_export(wide: DataFrame, device_type: str, day: Column, ordered: bool = True) -> DataFrame:
-    """All 34 columns of one device type and day, times as text, ordered by device."""
+    """All 34 columns of one device type and day, times as text, ordered by device.
+
+    Time and id follow the device in the order, so that the sort can split a device with very many
+    rows over several tasks.
+    """
     picked = wide.filter(
         (F.col("device_type") == device_type)
         & (F.col("year") == F.year(day))
@@ -34,4 +36,4 @@ def wide_export(wide: DataFrame, device_type: str, day: Column, ordered: bool =
     times = {c: format_time(F.col(c), MILLIS) for c in ["event_datetime", "date_time_key", "created_at"]}
     shaped = picked.withColumns({**times, "date_key": format_time(F.col("date_key"), "yyyy-MM-dd")})
     shaped = shaped.select(*WIDE_EXPORT)
-    return shaped.orderBy(*TRIPLE) if ordered else shaped
+    return shaped.orderBy(*TRIPLE, "event_datetime", "device_id") if ordered else shaped

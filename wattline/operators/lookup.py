@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattline.workspace import shared_root
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 16
 
@@ -29,6 +31,13 @@ def fits_broadcast(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return dim.agg(stored_bytes(dim).alias("n")).first()["n"] <= max_bytes
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """Write a derived table to the checkpoint folder once, so that measuring and using it does not
+    compute it again."""
+    shared_root(df.sparkSession)
+    return df.checkpoint()
+
+
 def lookup_join(
     facts: DataFrame,
     dim: DataFrame,
@@ -41,12 +50,14 @@ def lookup_join(
 
     A dimension measured below ``max_bytes`` is broadcast, so the facts are not shuffled at all.
     Beyond it both sides are shuffled on the key plus a salt: the facts of one key spread over
-    ``salts`` tasks by their whole content, the dimension is repeated once per salt. Works for
+    ``salts`` tasks by their whole content, the dimension is repeated once per salt; copies of one
+    row, which share a salt, are left to the skew handling of adaptive execution. Works for
     ``inner``, ``left``, ``left_semi`` and ``left_anti``, where unmatched rows come from the facts.
+    ``max_bytes`` of zero skips the measurement, for a right side that is itself made from facts.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    if fits_broadcast(dim, max_bytes):
+    if max_bytes and fits_broadcast(dim, max_bytes):
         return facts.join(F.broadcast(dim), on, how)
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
     repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -13,7 +13,7 @@ from wattline.operators.lookup import lookup_join
 
 def hours_with_readings(hours: DataFrame, readings: DataFrame) -> DataFrame:
     """Every booking hour with the hourly readings of its space, null where there are none."""
-    return lookup_join(hours, readings, ["space_id", "date_time_key"])
+    return lookup_join(hours, readings, ["space_id", "date_time_key"], max_bytes=0)
 
 
 def day_sums(hours: DataFrame) -> DataFrame:
@@ -38,9 +38,8 @@ def booking_day_sums(days: DataFrame, readings: DataFrame) -> DataFrame:
     A booking day runs from 13:00 to 12:00, which is exactly the business day of that date, so the
     readings can be summed per space and day first: some 24 times fewer rows meet in the join.
     """
-    return lookup_join(days, space_day_sums(readings), ["space_id", "date"], "inner").withColumnRenamed(
-        "date", "actual_date_key"
-    )
+    met = lookup_join(days, space_day_sums(readings), ["space_id", "date"], "inner", max_bytes=0)
+    return met.withColumnRenamed("date", "actual_date_key")
 
 
 def period_sums(day_values: DataFrame) -> DataFrame:

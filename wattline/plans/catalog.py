@@ -837,12 +837,12 @@ def q_hourly_meter(spark, sf):
 
 @query("q_hourly_filled")
 def q_hourly_filled(spark, sf):
-    return jobs.hourly_filled(v.numeric_readings(spark, sf), START)
+    return jobs.hourly_filled(v.numeric_readings(spark, sf, START), START)
 
 
 @query("q_missing_dates")
 def q_missing_dates(spark, sf):
-    return jobs.missing_dates(v.numeric_readings(spark, sf), START)
+    return jobs.missing_dates(v.numeric_readings(spark, sf, START), START)
 
 
 @query("q_daily_consumption")

@@ -126,7 +126,7 @@ def booking_hours(
         bookings, history, extensions, users, spaces, period, order_id, repeat_start
     )
     hours = bk.booking_hours(bk.days_of(windows, period))
-    return hours.orderBy(F.desc("date_time_key")) if newest_first else hours
+    return hours.orderBy(F.desc("date_time_key"), "order_id") if newest_first else hours
 
 
 def consumption_target(

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattline.functions.timecols import hour_floor
-from wattline.schemas import TRIPLE, to_session_ts
+from wattline.schemas import to_session_ts
+from wattline.sources.readers import since
 
 _LONG = "bigint"
 
@@ -44,9 +45,10 @@ def _device_tag() -> Column:
     return F.when(_user(4) == 2, 1010).when(_user(4) == 3, 1050).otherwise(1020)
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with session-zone timestamps."""
-    return to_session_ts(table(spark, sf_dir, "events"))
+def events(spark: SparkSession, sf_dir: str, start: str | None = None) -> DataFrame:
+    """Events with session-zone timestamps; ``start`` is compared in the stored type, by the scan."""
+    stored = table(spark, sf_dir, "events")
+    return to_session_ts(since(stored, "ts", start) if start else stored)
 
 
 def readings(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
@@ -71,9 +73,9 @@ def _reading_text() -> Column:
     return F.when(_user(4) == 2, count).otherwise(F.col("value").cast("string"))
 
 
-def numeric_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def numeric_readings(spark: SparkSession, sf_dir: str, start: str | None = None) -> DataFrame:
     """Readings with the value as a number."""
-    return numeric_readings_of(events(spark, sf_dir))
+    return numeric_readings_of(events(spark, sf_dir, start))
 
 
 def numeric_readings_of(events_df: DataFrame) -> DataFrame:
@@ -170,7 +172,7 @@ def spaces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = to_session_ts(table(spark, sf_dir, "orders"))
+    o = table(spark, sf_dir, "orders")
     stay = F.make_dt_interval(F.pmod("o_orderkey", F.lit(120).cast(_LONG)).cast("int"))
     return o.select(
         F.col("o_orderkey").alias("id"),
@@ -198,7 +200,7 @@ def booking_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extensions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = to_session_ts(table(spark, sf_dir, "lineitem"))
+    li = table(spark, sf_dir, "lineitem")
     return li.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
         F.col("l_orderkey").alias("order_id"),

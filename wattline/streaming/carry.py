@@ -7,19 +7,27 @@ watermark passes its end, because until then a record for it may still arrive.
 
 from __future__ import annotations
 
+import sys
 from datetime import datetime, timedelta
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from wattline.schemas import FLAGS, TRIPLE
 
+# The state function travels to the workers by value, so they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-OUTPUT = (
+# One row per record or per run of repeats; runs become rows on the JVM side.
+_RUNS = (
     "space_id bigint, zone_device_id bigint, zone_device_control_id bigint, at timestamp, "
-    "value double, is_online boolean, is_scenario boolean, carried boolean"
+    "run_end timestamp, value double, is_online boolean, is_scenario boolean, carried boolean"
 )
 _STATE = "at timestamp, reached timestamp, value double, is_online boolean, is_scenario boolean"
+_RUN = Row(*TRIPLE, "at", "run_end", "value", *FLAGS, "carried")
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -44,31 +52,32 @@ class CarryForward(StatefulProcessor):
         self.last = handle.getValueState("last", _STATE)
 
     def handleInputRows(self, key, rows, timerValues):
-        state = self.last.get() if self.last.exists() else None
+        state = self.last.get()
         if state is not None:
             self.handle.deleteTimer(self._wake(state[1]))
         for row in sorted(rows, key=lambda r: r.at):
             if state is not None:
-                yield from self._repeat(key, state, before=row.at)
-            yield self._row(key, row.at, (row.value, row.is_online, row.is_scenario), False)
+                silent = -((state[1] - row.at) // self.step) - 1
+                yield from self._repeats(key, state, silent)
+            values = (row.value, row.is_online, row.is_scenario)
+            yield _RUN(*key, row.at, row.at, *values, False)
             if state is None or row.at >= state[0]:
                 reached = row.at if state is None else max(row.at, state[1])
-                state = (row.at, reached, row.value, row.is_online, row.is_scenario)
+                state = (row.at, reached, *values)
         self.last.update(state)
         self.handle.registerTimer(self._wake(state[1]))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if not self.last.exists():
-            return
         state = self.last.get()
-        closed = timerValues.getCurrentWatermarkInMs() - self.step // timedelta(milliseconds=1)
-        reached, limit = state[1], self._limit(state)
-        while (limit is None or reached + self.step <= limit) and _millis(reached + self.step) <= closed:
-            reached += self.step
-            yield self._row(key, reached, state[2:], True)
-        if limit is not None and reached + self.step > limit:
+        if state is None:
+            return
+        open_ms = timerValues.getCurrentWatermarkInMs() - _millis(state[1])
+        closed = open_ms // (self.step // timedelta(milliseconds=1)) - 1
+        yield from self._repeats(key, state, closed)
+        if closed > self._left(state, closed):
             self.last.clear()
             return
+        reached = state[1] + max(closed, 0) * self.step
         self.last.update((state[0], reached, *state[2:]))
         self.handle.registerTimer(self._wake(reached))
 
@@ -79,19 +88,17 @@ class CarryForward(StatefulProcessor):
         """End of the first period after ``reached``."""
         return _millis(reached + 2 * self.step)
 
-    def _limit(self, state) -> datetime | None:
-        return None if self.max_steps is None else state[0] + self.max_steps * self.step
-
-    def _repeat(self, key, state, before: datetime):
-        at, limit = state[1] + self.step, self._limit(state)
-        while at < before and (limit is None or at <= limit):
-            yield self._row(key, at, state[2:], True)
-            at += self.step
+    def _left(self, state, wanted: int) -> int:
+        """How many of the wanted repeats the limit still allows."""
+        if self.max_steps is None:
+            return wanted
+        return min(wanted, self.max_steps - (state[1] - state[0]) // self.step)
 
-    def _row(self, key, at: datetime, values, carried: bool) -> Row:
-        return Row(
-            **dict(zip(TRIPLE, key)), at=at, **dict(zip(["value", *FLAGS], values)), carried=carried
-        )
+    def _repeats(self, key, state, wanted: int):
+        count = self._left(state, wanted)
+        if count > 0:
+            start, end = state[1] + self.step, state[1] + count * self.step
+            yield _RUN(*key, start, end, *state[2:], True)
 
 
 def carry_forward(
@@ -101,14 +108,15 @@ def carry_forward(
 
     ``max_steps`` bounds the repeats, and with them the state of devices that never come back.
     """
-    return (
+    runs = (
         periods.withColumnRenamed(time, "at")
         .groupBy(*TRIPLE)
         .transformWithState(
             statefulProcessor=CarryForward(step_seconds, max_steps),
-            outputStructType=OUTPUT,
+            outputStructType=_RUNS,
             outputMode="Append",
             timeMode="EventTime",
         )
-        .withColumnRenamed("at", time)
     )
+    period = F.explode(F.sequence("at", "run_end", F.make_dt_interval(secs=F.lit(step_seconds))))
+    return runs.select(*TRIPLE, period.alias(time), "value", *FLAGS, "carried")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattline.operators.reduce import flagged_time, flags_of
 from wattline.schemas import CAMERA_MESSAGE, FLAGS, METER_MESSAGE, TRIPLE
 
 LATENESS = "10 minutes"
@@ -25,7 +26,7 @@ def camera_messages(raw: DataFrame, value: str = "value") -> DataFrame:
 
 
 def _typed(raw: DataFrame, value: str, schema: str) -> DataFrame:
-    parsed = raw.select(F.from_json(F.col(value).cast("string"), schema).alias("m")).select("m.*")
+    parsed = raw.select(F.inline(F.array(F.from_json(F.col(value).cast("string"), schema))))
     return parsed.withColumn("ts", F.col("ts").try_cast("timestamp")).filter("ts is not null")
 
 
@@ -51,13 +52,8 @@ def minute_camera(readings: DataFrame, lateness: str = LATENESS) -> DataFrame:
     return (
         readings.withWatermark("ts", lateness)
         .groupBy(F.window("ts", "1 minute"), "space_id")
-        .agg(F.sum("value").cast("int").alias("value"), F.max(F.struct("ts", *FLAGS)).alias("last"))
-        .select(
-            "space_id",
-            "value",
-            *(f"last.{c}" for c in FLAGS),
-            F.col("window.start").alias("ts"),
-        )
+        .agg(F.sum("value").cast("int").alias("value"), F.max(flagged_time("ts")).alias("last"))
+        .select("space_id", "value", *flags_of(F.col("last")), F.col("window.start").alias("ts"))
     )
 
 

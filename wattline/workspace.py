@@ -14,9 +14,11 @@ def shared_root(spark: SparkSession) -> str:
     Only where none is set, as in local tests, a temporary folder is made and set.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if not named:
-        named = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", named)
+        named = context.getCheckpointDir() or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
     return named.rstrip("/")
 
 
