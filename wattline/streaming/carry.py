@@ -8,7 +8,6 @@ watermark passes its end, because until then a record for it may still arrive.
 from __future__ import annotations
 
 import sys
-from datetime import datetime, timedelta
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -21,12 +20,13 @@ from wattline.schemas import FLAGS, TRIPLE
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Periods travel as epoch microseconds, which are the same number in every worker's time zone.
 # One row per record or per run of repeats; runs become rows on the JVM side.
 _RUNS = (
-    "space_id bigint, zone_device_id bigint, zone_device_control_id bigint, at timestamp, "
-    "run_end timestamp, value double, is_online boolean, is_scenario boolean, carried boolean"
+    "space_id bigint, zone_device_id bigint, zone_device_control_id bigint, at bigint, "
+    "run_end bigint, value double, is_online boolean, is_scenario boolean, carried boolean"
 )
-_STATE = "at timestamp, reached timestamp, value double, is_online boolean, is_scenario boolean"
+_STATE = "at bigint, reached bigint, value double, is_online boolean, is_scenario boolean"
 _RUN = Row(*TRIPLE, "at", "run_end", "value", *FLAGS, "carried")
 
 
@@ -35,16 +35,11 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
-def _millis(at: datetime) -> int:
-    """Epoch milliseconds of a row's timestamp; Python rows carry them in local time."""
-    return round(at.timestamp() * 1000)
-
-
 class CarryForward(StatefulProcessor):
     """State per device: the last record, and the period up to which rows were emitted."""
 
     def __init__(self, step_seconds: int, max_steps: int | None):
-        self.step = timedelta(seconds=step_seconds)
+        self.step = step_seconds * 1_000_000
         self.max_steps = max_steps
 
     def init(self, handle):
@@ -57,8 +52,8 @@ class CarryForward(StatefulProcessor):
             self.handle.deleteTimer(self._wake(state[1]))
         for row in sorted(rows, key=lambda r: r.at):
             if state is not None:
-                silent = -((state[1] - row.at) // self.step) - 1
-                yield from self._repeats(key, state, silent)
+                # Whole periods strictly between the last emitted one and this record.
+                yield from self._repeats(key, state, (row.at - state[1] - 1) // self.step)
             values = (row.value, row.is_online, row.is_scenario)
             yield _RUN(*key, row.at, row.at, *values, False)
             if state is None or row.at >= state[0]:
@@ -71,22 +66,23 @@ class CarryForward(StatefulProcessor):
         state = self.last.get()
         if state is None:
             return
-        open_ms = timerValues.getCurrentWatermarkInMs() - _millis(state[1])
-        closed = open_ms // (self.step // timedelta(milliseconds=1)) - 1
+        # Periods after the last emitted one whose end the watermark has passed.
+        open_time = timerValues.getCurrentWatermarkInMs() * 1000 - state[1]
+        closed = max(open_time // self.step - 1, 0)
         yield from self._repeats(key, state, closed)
         if closed > self._left(state, closed):
             self.last.clear()
             return
-        reached = state[1] + max(closed, 0) * self.step
+        reached = state[1] + closed * self.step
         self.last.update((state[0], reached, *state[2:]))
         self.handle.registerTimer(self._wake(reached))
 
     def close(self):
         pass
 
-    def _wake(self, reached: datetime) -> int:
-        """End of the first period after ``reached``."""
-        return _millis(reached + 2 * self.step)
+    def _wake(self, reached: int) -> int:
+        """End of the first period after ``reached``, in milliseconds."""
+        return (reached + 2 * self.step) // 1000
 
     def _left(self, state, wanted: int) -> int:
         """How many of the wanted repeats the limit still allows."""
@@ -109,7 +105,7 @@ def carry_forward(
     ``max_steps`` bounds the repeats, and with them the state of devices that never come back.
     """
     runs = (
-        periods.withColumnRenamed(time, "at")
+        periods.withColumn("at", F.unix_micros(time))
         .groupBy(*TRIPLE)
         .transformWithState(
             statefulProcessor=CarryForward(step_seconds, max_steps),
@@ -118,5 +114,7 @@ def carry_forward(
             timeMode="EventTime",
         )
     )
-    period = F.explode(F.sequence("at", "run_end", F.make_dt_interval(secs=F.lit(step_seconds))))
-    return runs.select(*TRIPLE, period.alias(time), "value", *FLAGS, "carried")
+    period = F.explode(F.sequence("at", "run_end", F.lit(step_seconds * 1_000_000)))
+    return runs.withColumn("at", period).select(
+        *TRIPLE, F.timestamp_micros("at").alias(time), "value", *FLAGS, "carried"
+    )
