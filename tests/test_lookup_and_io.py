@@ -100,6 +100,18 @@ def test_registry_scan_keeps_keyed_rows_of_matching_tables(spark, tmp_path):
     assert readers.registry_scan(spark, root, "table=DEVICE_*", keyed_only=False).count() == 2
 
 
+def test_topic_options():
+    given = readers.topic_options("h:1", "t", group="g", max_per_trigger=10, **{"kafka.security.protocol": "SSL"})
+    assert given == {
+        "kafka.bootstrap.servers": "h:1",
+        "subscribe": "t",
+        "startingOffsets": "latest",
+        "groupIdPrefix": "g",
+        "maxOffsetsPerTrigger": "10",
+        "kafka.security.protocol": "SSL",
+    }
+
+
 def test_jdbc_options():
     given = {"url": "jdbc:x", "user": "u", "fetchsize": "5"}
     plain = readers.jdbc_options("iot.t", given)

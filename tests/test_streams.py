@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from wattline import schemas
 from wattline.operators import enrich, gapfill, reduce
-from wattline.streaming import carry, ingest, run, windows
+from wattline.sources import readers
+from wattline.streaming import carry, ingest, jobs, run, windows
 
 START = datetime(2024, 1, 1)
 
@@ -95,6 +96,28 @@ def test_carry_equals_its_batch_twin_over_restarts(spark, tmp_path, max_steps):
     )
 
 
+@pytest.mark.parametrize(
+    ("job", "expected"),
+    [
+        (jobs.hourly_meter, {("00:00", 3.0, False), ("01:00", 3.0, True), ("02:00", 4.0, False)}),
+        (jobs.minute_camera, {("00:05", 2), ("00:50", 3), ("02:10", 4)}),
+    ],
+)
+def test_jobs_from_messages_to_a_dated_table(spark, tmp_path, job, expected):
+    readings = spark.createDataFrame(rows((5, 2), (50, 3), (130, 4), (200, 1)), schemas.HISTORY_READING)
+    number = F.col("value").cast("int") if job is jobs.minute_camera else F.col("value")
+    message = F.struct(*schemas.TRIPLE, F.col("ts").cast("string").alias("ts"), number.alias("value"), *schemas.FLAGS)
+    readings.select(F.to_json(message).alias("value")).write.text(f"{tmp_path}/in")
+    raw = readers.read_messages(spark, "text", {"path": f"{tmp_path}/in"})
+    query = job(raw, f"{tmp_path}/out", f"{tmp_path}/cp", trigger={"availableNow": True})
+    query.awaitTermination()
+    table = spark.read.parquet(f"{tmp_path}/out")
+    time = F.date_format("date_time_key" if "date_time_key" in table.columns else "ts", "HH:mm")
+    carried = ["carried"] if "carried" in table.columns else []
+    assert {tuple(r) for r in table.select(time, "value", *carried).collect()} == expected
+    assert table.select("date_key").distinct().count() == 1
+
+
 TRIPLE_DDL = "space_id bigint, zone_device_id bigint, zone_device_control_id bigint"
 
 

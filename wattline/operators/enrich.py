@@ -22,12 +22,13 @@ from wattline.schemas import (
     TRIPLE,
 )
 
-# Topic and registry table per kind of device.
+# Topic per kind of device; callers pass their own names.
 TOPICS = {
-    "meter": "stey-iot-device-ele-water-data",
-    "camera": "stey-iot-device-camera-data",
-    "co2": "stey-iot-device-air-co2-data",
+    "meter": "device-ele-water-data",
+    "camera": "device-camera-data",
+    "co2": "device-air-co2-data",
 }
+# Registry table per kind of device, and the table of devices turned down.
 REGISTRY_TABLES = {"meter": "DEVICE_ELE_WATER", "co2": "DEVICE_AIR_CO2", "camera": "DEVICE_CAMERA"}
 INVALID_TABLE = "INVALID_DEVICE"
 
@@ -177,13 +178,13 @@ def typed_values(routed: DataFrame) -> DataFrame:
     )
 
 
-def messages(routed: DataFrame) -> DataFrame:
+def messages(routed: DataFrame, topics: dict[str, str] = TOPICS) -> DataFrame:
     """Topic, key and JSON value of every routed reading whose value has the type its kind needs."""
     stamp = format_time(F.col("ts"))
     body = [*TRIPLE, stamp.alias("ts"), "is_online"]
     number = F.to_json(F.struct(*body, F.col("value_double").alias("value"), "is_scenario"))
     count = F.to_json(F.struct(*body, F.col("value_int").alias("value"), "is_scenario"))
-    topic = F.create_map(*(F.lit(x) for pair in TOPICS.items() for x in pair))[F.col("kind")]
+    topic = F.create_map(*(F.lit(x) for pair in topics.items() for x in pair))[F.col("kind")]
     return (
         typed_values(routed)
         .filter(F.coalesce(F.col("value_double"), F.col("value_int").cast("double")).isNotNull())

@@ -227,8 +227,8 @@ _BODIES = {
         CASE WHEN date_time_key >= TIMESTAMP '2024-01-20' THEN value + 1000 ELSE value END AS value,
         CAST(CASE WHEN date_time_key >= TIMESTAMP '2024-01-20' THEN 1 ELSE 0 END AS INTEGER) AS load_seq FROM hourly""",
     "csv_export": f"""SELECT {TRIPLE}, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS ts, is_online, is_scenario, value FROM numbers""",
-    "topic_publish_json": f"""SELECT CASE kind WHEN 'meter' THEN 'stey-iot-device-ele-water-data'
-          WHEN 'camera' THEN 'stey-iot-device-camera-data' ELSE 'stey-iot-device-air-co2-data' END AS topic,
+    "topic_publish_json": f"""SELECT CASE kind WHEN 'meter' THEN 'device-ele-water-data'
+          WHEN 'camera' THEN 'device-camera-data' ELSE 'device-air-co2-data' END AS topic,
         strftime(ts, {_SECONDS}) AS key,
         concat('{{"space_id":', space_id, ',"zone_device_id":', zone_device_id, ',"zone_device_control_id":',
           zone_device_control_id, ',"ts":"', strftime(ts, {_SECONDS}), '","is_online":', is_online, ',"value":',

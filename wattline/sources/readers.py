@@ -12,6 +12,36 @@ from wattline.functions.scalars import has_dash
 from wattline.schemas import RAW_READING, TRIPLE
 
 
+def topic_options(
+    servers: str,
+    topic: str,
+    group: str | None = None,
+    starting: str = "latest",
+    max_per_trigger: int | None = None,
+    **more: str,
+) -> dict[str, str]:
+    """Options of a message source. Offsets are kept in the query's checkpoint, never committed
+    back; ``more`` takes security and time-out settings as they are."""
+    out = {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": topic,
+        "startingOffsets": starting,
+        **more,
+    }
+    if group is not None:
+        out["groupIdPrefix"] = group
+    if max_per_trigger is not None:
+        out["maxOffsetsPerTrigger"] = str(max_per_trigger)
+    return out
+
+
+def read_messages(
+    spark: SparkSession, fmt: str = "kafka", options: dict[str, str] | None = None
+) -> DataFrame:
+    """Stream of raw messages in ``value``."""
+    return spark.readStream.format(fmt).options(**(options or {})).load()
+
+
 def read_stream(
     spark: SparkSession,
     fmt: str = "kafka",
@@ -20,7 +50,7 @@ def read_stream(
     value: str = "value",
 ) -> DataFrame:
     """Subscribe to JSON messages and parse them to ``data``; texts that do not parse are null."""
-    raw = spark.readStream.format(fmt).options(**(options or {})).load()
+    raw = read_messages(spark, fmt, options)
     return raw.select(parse_message(F.col(value), schema).alias("data"))
 
 

@@ -36,9 +36,11 @@ def retained(df: DataFrame, column: str, as_of: Any, seconds: int = RETENTION_SE
     return df.filter(F.col(column) >= oldest)
 
 
-def replace_partition(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def replace_partition(
+    df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None
+) -> None:
     """Write a directory that belongs to one unit of work; doing it again changes nothing."""
-    df.write.format(fmt).mode("overwrite").save(path)
+    df.write.format(fmt).mode("overwrite").partitionBy(*(partition_by or [])).save(path)
 
 
 def upsert(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -29,13 +29,15 @@ class Tables:
 
 @dataclass(frozen=True)
 class Targets:
-    """Where a micro-batch goes. Without topic options no messages are published."""
+    """Where a micro-batch goes. Facts lie below ``batch_id=.../kind=...``. Without topic options no
+    messages are published."""
 
     facts: str
     registry: str
     fmt: str = "parquet"
     topic_fmt: str = "kafka"
     topic_options: dict[str, str] | None = None
+    topics: dict[str, str] = field(default_factory=lambda: dict(enrich.TOPICS))
 
 
 def write_batch(batch: DataFrame, batch_id: int, tables: Tables, targets: Targets) -> None:
@@ -48,9 +50,9 @@ def write_batch(batch: DataFrame, batch_id: int, tables: Tables, targets: Target
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         facts = routed.filter(F.col("kind").isNotNull()).select(*FACTS)
-        replace_partition(facts, f"{targets.facts}/batch_id={batch_id}", targets.fmt)
+        replace_partition(facts, f"{targets.facts}/batch_id={batch_id}", targets.fmt, ["kind"])
         if targets.topic_options is not None:
-            publish(enrich.messages(routed), targets.topic_options, targets.topic_fmt)
+            publish(enrich.messages(routed, targets.topics), targets.topic_options, targets.topic_fmt)
         write_registry(
             enrich.registry_rows(routed), targets.registry, str(batch_id), targets.fmt
         )

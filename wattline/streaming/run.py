@@ -13,6 +13,7 @@ def start_append(
     fmt: str = "parquet",
     options: dict[str, str] | None = None,
     trigger: dict | None = None,
+    partition_by: list[str] | None = None,
 ) -> StreamingQuery:
     """Append a stream to a table; offsets and state live in the checkpoint folder."""
     writer = (
@@ -22,6 +23,8 @@ def start_append(
         .option("checkpointLocation", checkpoint)
         .option("path", path)
     )
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
