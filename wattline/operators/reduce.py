@@ -6,7 +6,7 @@ device that sends a third of all readings costs one row per task and period.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from wattline.functions.scalars import exact_difference
@@ -14,9 +14,19 @@ from wattline.functions.timecols import day_ending, hour_floor, minute_floor
 from wattline.schemas import FLAGS, TRIPLE
 
 
+def group_records(df: DataFrame, keys: list[str]) -> GroupedData:
+    """Group for aggregates over whole records, led by a hash of the keys.
+
+    Record buffers are not fixed-width, so such an aggregate sorts its input by the group. A 64-bit
+    number in front lets nearly every comparison end at the sort prefix; the keys that follow keep
+    the groups exact.
+    """
+    return df.withColumn("_group", F.xxhash64(*keys)).groupBy("_group", *keys)
+
+
 def first_and_last(
     df: DataFrame,
-    keys: list[str | Column],
+    keys: list[str],
     time: str,
     payload: list[str],
     unique_times: bool = False,
@@ -30,17 +40,16 @@ def first_and_last(
     fields = [time, *payload]
     if not unique_times:
         record = F.struct(*fields)
-        return df.groupBy(*keys).agg(F.min(record).alias("first"), F.max(record).alias("last"))
+        ends = group_records(df, keys).agg(F.min(record).alias("first"), F.max(record).alias("last"))
+        return ends.drop("_group")
     picks = []
     for c in fields:
         picks += [
             F.min_by(c, time).alias(f"_first_{c}") if c != time else F.min(c).alias(f"_first_{c}"),
             F.max_by(c, time).alias(f"_last_{c}") if c != time else F.max(c).alias(f"_last_{c}"),
         ]
-    grouped = df.groupBy(*keys).agg(*picks)
-    kept = [c for c in grouped.columns if not c.startswith(("_first_", "_last_"))]
-    return grouped.select(
-        *kept,
+    return df.groupBy(*keys).agg(*picks).select(
+        *keys,
         *(
             F.struct(*(F.col(f"_{end}_{c}").alias(c) for c in fields)).alias(end)
             for end in ("first", "last")
@@ -75,8 +84,9 @@ def daily_consumption(
 def hourly_max(readings: DataFrame, time: str = "ts") -> DataFrame:
     """Per device and clock hour the record with the greatest value; the latest one on a tie."""
     best = F.max(F.struct("value", time, *FLAGS)).alias("best")
+    hours = readings.withColumn("date_time_key", hour_floor(F.col(time)))
     return (
-        readings.groupBy(*TRIPLE, hour_floor(F.col(time)).alias("date_time_key"))
+        group_records(hours, [*TRIPLE, "date_time_key"])
         .agg(best)
         .select(*TRIPLE, *(f"best.{c}" for c in FLAGS), "best.value", "date_time_key")
     )
@@ -114,8 +124,9 @@ def minute_camera_sum(readings: DataFrame, time: str = "ts") -> DataFrame:
 def minute_first(readings: DataFrame, time: str = "ts") -> DataFrame:
     """Per device and minute the first record of the minute."""
     first = F.min(F.struct(time, "value", *FLAGS)).alias("first")
+    minutes = readings.withColumn("minute", minute_floor(F.col(time)))
     return (
-        readings.groupBy(*TRIPLE, minute_floor(F.col(time)).alias("minute"))
+        group_records(minutes, [*TRIPLE, "minute"])
         .agg(first)
         .select(*TRIPLE, "first.value", *(f"first.{c}" for c in FLAGS), F.col("minute").alias("ts"))
     )
@@ -125,7 +136,7 @@ def latest_by_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One record per key, the one loaded last; copies collapse before the shuffle."""
     rest = [c for c in df.columns if c not in keys and c != order]
     return (
-        df.groupBy(*keys)
+        group_records(df, keys)
         .agg(F.max(F.struct(order, *rest)).alias("last"))
         .select(*keys, *(f"last.{c}" for c in rest), f"last.{order}")
     )
