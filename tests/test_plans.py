@@ -121,6 +121,20 @@ def test_day_partition_is_pruned(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*date_key", plan(df))
 
 
+def test_day_range_prunes_date_partitions(spark, sf, tmp_path):
+    path = str(tmp_path / "hourly")
+    dated = v.meter_hourly(spark, sf).withColumn("date_key", F.to_date("date_time_key"))
+    dated.write.partitionBy("date_key").parquet(path)
+    stored = spark.read.parquet(path)
+    picked = jobs.day_readings(stored, "2024-01-15", 2, date_column="date_key")
+    assert sorted(map(tuple, picked.collect())) == sorted(
+        map(tuple, jobs.day_readings(stored, "2024-01-15", 2).collect())
+    )
+    partition_filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan(picked)).group(1)
+    assert "date_key" in partition_filters and ">= 2024-01-13" in partition_filters
+    assert "<= 2024-01-15" in partition_filters
+
+
 def test_booking_job_prunes_large_tables_by_semi_join(spark, sf):
     inputs = (v.bookings(spark, sf), v.booking_history(spark, sf), v.extensions(spark, sf), v.users(spark, sf), v.spaces(spark, sf))
     text = plan(jobs.booking_hours(*inputs, "1998-06-30"))

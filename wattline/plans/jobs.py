@@ -39,9 +39,10 @@ def hourly_filled(
     registry: DataFrame | None = None,
     last_known: DataFrame | None = None,
     unique_times: bool = False,
+    date_column: str | None = None,
 ) -> DataFrame:
     """History readings since ``start`` with missing hours filled by the smaller neighbour."""
-    picked = registered_only(since(readings, "ts", start) if start else readings, registry)
+    picked = registered_only(since(readings, "ts", start, date_column) if start else readings, registry)
     whole = picked.select(*READING).withColumn("ts", F.date_trunc("second", "ts"))
     if last_known is None:
         filled = gapfill.fill_between(whole, "ts", unique_times)
@@ -55,19 +56,23 @@ def missing_dates(
     start: Any | None = None,
     registry: DataFrame | None = None,
     unique_times: bool = False,
+    date_column: str | None = None,
 ) -> DataFrame:
     """History readings since ``start`` with missing whole hours filled by the reading before."""
-    picked = registered_only(since(readings, "ts", start) if start else readings, registry)
+    picked = registered_only(since(readings, "ts", start, date_column) if start else readings, registry)
     whole = picked.select(*READING).withColumn("ts", F.date_trunc("second", "ts"))
     return gapfill.fill_forward(whole, "ts", unique_times=unique_times).withColumnRenamed(
         "ts", "date_time_key"
     )
 
 
-def day_readings(hourly: DataFrame, as_of: Any, days: int = 1) -> DataFrame:
+def day_readings(
+    hourly: DataFrame, as_of: Any, days: int = 1, date_column: str | None = None
+) -> DataFrame:
     """Hourly readings of the ``days`` business days that end on ``as_of``, as one scan range."""
     end = F.lit(as_of).cast("timestamp")
-    return time_range(hourly, "date_time_key", cut_of(end, 12, -days), day_range(end)[1])
+    bounds = cut_of(end, 12, -days), day_range(end)[1]
+    return time_range(hourly, "date_time_key", *bounds, date_column)
 
 
 def with_device(daily: DataFrame, master: DataFrame) -> DataFrame:
@@ -92,12 +97,14 @@ def daily_consumption(
     as_of: Any | None = None,
     days: int = 1,
     unique_times: bool = True,
+    date_column: str | None = None,
 ) -> DataFrame:
     """Consumption and meter total per device and business day, with device and room codes.
 
     The whole range of days is one query. Without ``as_of`` it is every day in the table.
+    ``date_column`` names the calendar date the hourly table is partitioned by, if it is.
     """
-    picked = hourly if as_of is None else day_readings(hourly, as_of, days)
+    picked = hourly if as_of is None else day_readings(hourly, as_of, days, date_column)
     daily = reduce.daily_consumption(picked, unique_times=unique_times)
     return with_room(with_device(daily, master), spaces).select(
         "consumption",

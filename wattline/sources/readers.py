@@ -95,15 +95,29 @@ def distinct_devices(registry: DataFrame) -> DataFrame:
     return registry.select(*TRIPLE).distinct()
 
 
-def time_range(df: DataFrame, column: str, start: Any, end: Any) -> DataFrame:
-    """Half-open range. The bounds take the type of the column, so the filter reaches the scan."""
-    kind = df.schema[column].dataType
-    at = F.col(column)
-    return df.filter((at >= F.lit(start).cast(kind)) & (at < F.lit(end).cast(kind)))
-
+def time_range(
+    df: DataFrame, column: str, start: Any, end: Any, date_column: str | None = None
+) -> DataFrame:
+    """Half-open range. The bounds take the type of the column, so the filter reaches the scan.
 
-def since(df: DataFrame, column: str, start: Any) -> DataFrame:
-    return df.filter(F.col(column) >= F.lit(start).cast(df.schema[column].dataType))
+    ``date_column`` names a column with the date of ``column``, as tables partitioned by date have;
+    the range then also prunes partitions.
+    """
+    kind = df.schema[column].dataType
+    end = F.lit(end).cast(kind)
+    picked = since(df, column, start, date_column).filter(F.col(column) < end)
+    if date_column is None:
+        return picked
+    return picked.filter(F.col(date_column).cast("date") <= F.to_date(end))
+
+
+def since(df: DataFrame, column: str, start: Any, date_column: str | None = None) -> DataFrame:
+    """Rows from a time on; ``date_column`` as for :func:`time_range`."""
+    start = F.lit(start).cast(df.schema[column].dataType)
+    picked = df.filter(F.col(column) >= start)
+    if date_column is None:
+        return picked
+    return picked.filter(F.col(date_column).cast("date") >= F.to_date(start))
 
 
 def dated_scan(
