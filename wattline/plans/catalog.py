@@ -16,7 +16,7 @@ from wattline.functions import timecols as tc
 from wattline.operators import bookings as bk
 from wattline.operators import enrich, gapfill, history, reduce, targets
 from wattline.plans import jobs
-from wattline.schemas import FLAGS, READING, TRIPLE
+from wattline.schemas import READING, TRIPLE
 from wattline.sources import readers, sample_views as v, writers
 from wattline.streaming import carry, ingest, run, windows
 from wattline.workspace import new_folder
@@ -127,7 +127,7 @@ def dated_table_scan(spark, sf):
         at.alias("create_at"),
         F.col("total").cast("double").alias("current_value"),
         F.col("used").cast("double").alias("difference"),
-        *v._triple(),
+        *v.device_ids(),
         F.lit(True).alias("is_online"),
         F.lit(False).alias("is_scenario"),
         F.date_format(at, "HH:mm:ss").alias("time_key"),

@@ -24,7 +24,7 @@ def _user(n: int) -> Column:
     return F.pmod(F.col("user_id"), F.lit(n).cast(_LONG))
 
 
-def _triple() -> list[Column]:
+def device_ids() -> list[Column]:
     return [
         _user(50).alias("space_id"),
         F.col("user_id").alias("zone_device_id"),
@@ -59,7 +59,7 @@ def readings(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) ->
 def readings_of(events_df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return events_df.select(
         *(keep or []),
-        *_triple(),
+        *device_ids(),
         "ts",
         (F.col("event_type") != "error").alias("is_online"),
         (F.col("event_type") == "signup").alias("is_scenario"),
@@ -113,7 +113,7 @@ def meter_totals_of(events_df: DataFrame) -> DataFrame:
 
 def meter_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return meter_totals_of(events(spark, sf_dir)).select(
-        *_triple(),
+        *device_ids(),
         "date_time_key",
         F.lit(True).alias("is_online"),
         F.lit(False).alias("is_scenario"),
@@ -124,7 +124,7 @@ def meter_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 def space_hourly(spark: SparkSession, sf_dir: str, shift_days: int = 0) -> DataFrame:
     """Hourly use per device as the booking report reads it, moved back by whole days."""
     return meter_totals_of(events(spark, sf_dir)).select(
-        *_triple(),
+        *device_ids(),
         (F.col("date_time_key") - F.make_dt_interval(F.lit(shift_days))).alias("date_time_key"),
         F.col("used").cast("double").alias("accumulate_value"),
         F.col("total").cast("double").alias("current_value"),
@@ -141,12 +141,12 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _users(spark, sf_dir)
         .filter(_user(5) != 0)
-        .select(*_triple(), _device_type().alias("device_type"), _device_tag().alias("zone_device_control_tag"))
+        .select(*device_ids(), _device_type().alias("device_type"), _device_tag().alias("zone_device_control_tag"))
     )
 
 
 def invalid_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _users(spark, sf_dir).filter(_user(20) == 0).select(*_triple())
+    return _users(spark, sf_dir).filter(_user(20) == 0).select(*device_ids())
 
 
 def binding_master(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +154,7 @@ def binding_master(spark: SparkSession, sf_dir: str) -> DataFrame:
         _users(spark, sf_dir)
         .filter(_user(10) != 0)
         .select(
-            *_triple(),
+            *device_ids(),
             _device_type().alias("device_type_c"),
             _device_tag().alias("zone_device_control_tag"),
             F.concat(F.lit("dev-"), F.col("user_id").cast("string")).alias("zone_device_code"),
@@ -221,7 +221,7 @@ def wide_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every reading with the 34 columns of the warehouse table behind the wide export."""
     ts = F.col("ts")
     return events(spark, sf_dir).select(
-        *_triple(),
+        *device_ids(),
         ts.alias("event_datetime"),
         (F.col("event_type") != "error").alias("is_online"),
         F.col("value").alias("current_value"),
