@@ -7,7 +7,7 @@ from compare import connect, differences
 
 import __spark_entry__ as spark_entry
 
-QUERIES, ORACLES = spark_entry.queries(), spark_entry.oracle_sql()
+QUERIES, ORACLES = spark_entry.QUERIES, spark_entry.ORACLES
 
 
 @pytest.fixture(scope="module")

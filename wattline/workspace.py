@@ -11,12 +11,17 @@ from pyspark.sql import SparkSession
 def shared_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where none is set, as in local tests, a temporary folder is made and set.
+    Only a session on one machine, as in local tests, may leave it unset; a temporary folder is
+    then made and set. Elsewhere executors could not see each other's files, so that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not named:
-        named = context.getCheckpointDir() or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        named = context.getCheckpointDir()
+    if not named:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named.rstrip("/")
