@@ -47,7 +47,7 @@ def op5_co_trained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_captures(pages: DataFrame) -> DataFrame:
     """Pages with a fetch time that is derived from their id: some minute of 2024."""
     minute = F.pmod(F.col("page_id") * 7919, F.lit(366 * 1440))
-    fetched = F.timestamp_seconds(F.lit(1704067200) + minute * 60)
+    fetched = F.expr("timestamp_ntz'2024-01-01 00:00:00'") + F.make_dt_interval(mins=minute.cast("int"))
     return pages.select("page_id", "url", fetched.alias("fetched_at"))
 
 
@@ -83,7 +83,8 @@ def derived_entries(pages: DataFrame) -> DataFrame:
         "kind string, pattern string, action string, day long",
     )
     entries = domains.unionByName(single).unionByName(words)
-    dated = F.timestamp_seconds(F.lit(1704067200) + F.col("day") * 86400)
+    day = F.make_dt_interval(days=F.col("day").cast("int"))
+    dated = F.expr("timestamp_ntz'2024-01-01 00:00:00'") + day
     return entries.select("kind", "pattern", "action", dated.alias("dated"))
 
 
@@ -137,7 +138,7 @@ active AS (
   FROM hits h WHERE h.newest = 1 AND h.listed),
 first AS (
   SELECT page_id, count(*) AS n, min((since, kind, pattern)) AS f FROM active GROUP BY page_id)
-SELECT c.page_id, c.host, c.fetched_at, coalesce(f.n, 0) AS active, f.n IS NOT NULL AS blocked,
+SELECT c.page_id, c.host, c.fetched_at, coalesce(f.n, 0)::INT AS active, f.n IS NOT NULL AS blocked,
        f.f[2] AS kind, f.f[3] AS pattern, to_timestamp(1704067200 + f.f[1] * 86400)::TIMESTAMP AS listed_at
 FROM captures c LEFT JOIN first f USING (page_id)
 """
