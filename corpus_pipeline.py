@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wattline.llm import minhash, mixing, packing, quality
-from wattline.llm.shared import free_name, landed
+from wattline.llm.shared import free_name, landed, ship_package
 
 #: Share of unevenness between sources that the mixture takes away.
 EVENNESS = 0.5
@@ -19,6 +19,7 @@ EVENNESS = 0.5
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier does not reject."""
+    ship_package(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = quality.score_quality(docs, quality.train_quality(docs, labels))
     return scored.filter(free_name(docs.columns, "keep")).select(*docs.columns)
@@ -26,6 +27,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: that with the smallest id. Rows that repeat an id stay once."""
+    ship_package(spark)
     found = minhash.near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id")
     once = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
     nameless = docs.filter("doc_id is null")
@@ -34,11 +36,13 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order that interleaves their sources at the target weights."""
+    ship_package(spark)
     return mixing.in_mixed_order(docs, evenness=EVENNESS)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in sequences."""
+    ship_package(spark)
     return packing.digest(docs)
 
 

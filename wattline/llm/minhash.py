@@ -8,10 +8,11 @@ into that many buckets, and of the least hash in a bucket a register holds its l
 2. In each band bucket every class is paired with the bucket's smallest class.
 3. The sketches estimate similarity, corrected for registers that agree by chance; what is clearly
    below the threshold goes, all the rest is verified on full sets.
-4. Links give components. A bucket that still holds several components is looked at again, all
-   members against all, in cells of bounded size, and only pairs across components that the sketch
-   does not rule out are verified. So every pair that shares a bucket is either verified, ruled out by
-   its sketches, or already in one component, and no group is expanded into all pairs.
+4. Links give components. Buckets that still hold several components take another head, twice; in
+   what is left members meet all members, in cells of bounded size, where every pair across components
+   that the sketches do not rule out is verified until the components have become one. So every pair
+   that shares a bucket is verified, ruled out by its sketches, or in one component already, and only
+   links leave a cell: no group is expanded into all pairs.
 
 With ``BANDS`` bands of ``BAND`` registers a link of similarity 0.75 is missed with probability
 ``(1 - 0.75 ** BAND) ** BANDS``, about 5e-6, and the estimate's margin is five standard deviations.
@@ -40,7 +41,8 @@ REGISTERS, MANTISSA = 128, 10
 BAND, BANDS = 4, 32
 #: Sketches of smaller sets are filled by few values; they are verified without an estimate.
 ESTIMATED_FROM = 256
-CELL = 512
+#: Classes per part of a large bucket, rounds with another head, and ids that may be sent to all tasks.
+CELL, STAR_TURNS, SENT_IDS = 256, 2, 500_000
 
 _BUCKET_BITS = REGISTERS.bit_length() - 1
 _REST_BITS = 64 - _BUCKET_BITS
@@ -198,12 +200,12 @@ def not_ruled_out(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(rows, "a binary, b binary")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that are links, by their full sets. Sets are made again, for the
-    classes in question alone, from the document that stands for each."""
-    keys = pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).distinct()
-    named = keys.join(classes.select("set_key", "doc_id"), "set_key").select("doc_id")
-    texts = docs.select("doc_id", "text").join(named, "doc_id", "left_semi")
+def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(set_key, shingles) of the classes in ``wanted``, made again from the document (doc_id) that
+    stands for each. Ids that are counted to be few are sent to every task, more are shuffled."""
+    ids = wanted.select("doc_id").distinct()
+    few = ids.count() <= SENT_IDS
+    texts = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
 
     def sets(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
@@ -217,6 +219,12 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
                     names=["set_key", "shingles"],
                 )
 
+    return landed(texts.mapInArrow(sets, "set_key binary, shingles binary"), "sets")
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes that are links, by their full sets."""
+
     def check(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             keep = [
@@ -225,53 +233,112 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    full = landed(texts.mapInArrow(sets, "set_key binary, shingles binary"), "sets")
-    both = pairs.join(full.toDF("a", "x"), "a").join(full.toDF("b", "y"), "b")
+    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
     return both.mapInArrow(check, "a binary, b binary")
 
 
-def _cells(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs across components within the buckets given, as far as sketches leave them possible.
+def linked_in_cell(
+    keys: list[bytes], root: np.ndarray, size: np.ndarray, marks: np.ndarray, sets: list[np.ndarray],
+    left: np.ndarray, right: np.ndarray, band: int,
+) -> list[tuple[bytes, bytes]]:
+    """Links that join the components of a cell: members ``left`` against members ``right``.
+
+    Every pair across components that the sketches leave possible is verified, most similar first,
+    until its two components have become one. A pair that shares several bands belongs to the first.
+    """
+    root, links = root.copy(), []
+    for i in left.tolist():
+        j = right[root[right] != root[i]]
+        if not len(j):
+            continue
+        same = marks[j] == marks[i]
+        first = same.reshape(len(j), BANDS, BAND).all(axis=2).argmax(axis=1)
+        agreeing = same.sum(axis=1)
+        open_ = (first == band) & possible(agreeing, np.full(len(j), size[i]), size[j])
+        for k in j[open_][np.argsort(-agreeing[open_], kind="stable")].tolist():
+            if root[k] != root[i] and linked(sets[i], sets[k]):
+                links.append((max(keys[i], keys[k]), min(keys[i], keys[k])))
+                root[root == root[k]] = root[i]
+    return links
+
+
+def links_across(members: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) across components within the buckets given.
 
     ``members`` has (bucket, set_key, root, parts): a bucket of many classes is dealt over ``parts``
     parts, and each pair of parts is a cell of its own.
     """
     part = F.pmod(F.xxhash64("set_key", F.lit(1)), F.col("parts"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1))
-    dealt = members.withColumn("part", part.cast("int")).withColumn("other", other)
-    dealt = dealt.join(classes.select("set_key", "n_shingles", "sketch"), "set_key").select(
-        "bucket",
-        F.least("part", "other").alias("low"),
-        F.greatest("part", "other").alias("high"),
-        "part", "set_key", "root", "n_shingles", "sketch",
+    described = classes.select("set_key", "n_shingles", "sketch").join(sets, "set_key")
+    dealt = (
+        members.withColumn("part", part.cast("int"))
+        .join(described, "set_key")
+        .withColumn("other", other)
+        .select(
+            "bucket",
+            F.least("part", "other").alias("low"),
+            F.greatest("part", "other").alias("high"),
+            "part", "set_key", "root", "n_shingles", "sketch", "shingles",
+        )
     )
 
     def compare(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
         part = table.column("part").to_numpy()
-        keys, roots = table.column("set_key").to_pylist(), table.column("root").to_pylist()
+        roots = table.column("root").to_pylist()
         code = {r: i for i, r in enumerate(dict.fromkeys(roots))}
-        root = np.array([code[r] for r in roots])
-        size = table.column("n_shingles").to_numpy()
-        marks = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16)
-        marks = marks.reshape(-1, REGISTERS)
-        right = np.flatnonzero(part == high)
-        a, b = [], []
-        for i in np.flatnonzero(part == low).tolist():
-            j = right[root[right] != root[i]]
-            if low == high:
-                j = j[j > i]
-            if len(j):
-                same = (marks[j] == marks[i]).sum(axis=1)
-                for k in j[possible(same, np.full(len(j), size[i]), size[j])].tolist():
-                    a.append(max(keys[i], keys[k]))
-                    b.append(min(keys[i], keys[k]))
+        links = []
+        if len(code) > 1:
+            marks = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16)
+            marks = marks.reshape(-1, REGISTERS)
+            bucket = table.column("bucket")[0].as_py()
+            links = linked_in_cell(
+                table.column("set_key").to_pylist(),
+                np.array([code[r] for r in roots]),
+                table.column("n_shingles").to_numpy(),
+                marks,
+                [np.frombuffer(x.as_py(), np.uint64) for x in table.column("shingles")],
+                np.flatnonzero(part == low),
+                np.flatnonzero(part == high),
+                int(np.argmax(band_keys(marks[:1])[0] == bucket)),
+            )
+        a, b = zip(*links, strict=True) if links else ((), ())
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return dealt.groupBy("bucket", "low", "high").applyInArrow(compare, "a binary, b binary")
 
 
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, root) after more links between their nodes."""
+    ends = (
+        links.join(roots.toDF("a", "ra"), "a", "left")
+        .join(roots.toDF("b", "rb"), "b", "left")
+        .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    )
+    lifted = landed(component_labels(ends), "lifted").toDF("root", "top")
+    moved = roots.join(lifted, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    fresh = lifted.join(roots.select(F.col("node").alias("root")), "root", "left_anti")
+    return landed(moved.union(fresh), "roots")
+
+
+def in_mixed_buckets(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """(bucket, set_key, root, members) of the buckets of three and more classes that still hold
+    several components. In a bucket of two both have met."""
+    placed = (
+        shared.filter("n > 2")
+        .join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
+        .select("bucket", "set_key", F.coalesce("root", "set_key").alias("root"))
+    )
+    several = (
+        placed.groupBy("bucket")
+        .agg(F.min("root").alias("r"), F.max("root").alias("s"), F.count(F.lit(1)).alias("members"))
+        .filter("r <> s")
+        .select("bucket", "members")
+    )
+    return landed(placed.join(several, "bucket"), "mixed-buckets")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per document (doc_id, text): doc_id, n_shingles, component_id and kept."""
     described = landed(describe(docs), "sketches")
@@ -292,46 +359,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .filter("n > 1")
     )
     shared = landed(buckets.join(heads, "bucket"), "shared-buckets")
+    sets = class_sets(docs, shared.select("set_key").distinct().join(classes, "set_key"))
     stars = (
         shared.filter("set_key <> head")
         .select(F.col("set_key").alias("a"), F.col("head").alias("b"))
         .distinct()
     )
-    links = landed(verified(landed(not_ruled_out(stars, classes), "stars"), docs, classes), "links")
+    links = landed(verified(landed(not_ruled_out(stars, classes), "stars"), sets), "links")
     roots = landed(component_labels(links), "roots")
-
-    # Buckets of three and more classes whose members are not all in one component yet. Buckets with
-    # the same members (near copies share many) are looked at once.
-    placed = (
-        shared.filter("n > 2")
-        .join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
-        .withColumn("root", F.coalesce("root", "set_key"))
-    )
-    mark = F.sum(F.shiftright(F.xxhash64("set_key"), 24))
-    mixed_up = (
-        placed.groupBy("bucket")
-        .agg(
-            F.min("root").alias("r"), F.max("root").alias("s"),
-            F.min("set_key").alias("p"), F.max("set_key").alias("q"),
-            mark.alias("mark"), F.count(F.lit(1)).alias("members"),
-        )
-        .filter("r <> s")
-        .groupBy("p", "q", "mark", "members")
-        .agg(F.min("bucket").alias("bucket"))
-        .select("bucket", F.ceil(F.col("members") / CELL).alias("parts"))
-    )
-    again = placed.join(mixed_up, "bucket").select("bucket", "set_key", "root", "parts")
-    across = landed(_cells(again, classes).distinct(), "across")
-    more = landed(verified(across, docs, classes), "more-links")
-    if not more.isEmpty():
-        # Links across components, between their roots.
-        lift = roots.select("node", "root")
-        ends = (
-            more.join(lift.toDF("a", "ra"), "a", "left")
-            .join(lift.toDF("b", "rb"), "b", "left")
-            .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
-        )
-        roots = landed(component_labels(ends.union(roots.toDF("a", "b"))), "all-roots")
+    for turn in range(STAR_TURNS):
+        # Another head for each bucket that still holds several components.
+        open_ = in_mixed_buckets(shared, roots)
+        order = F.struct(F.xxhash64("set_key", F.lit(turn)).alias("h"), "set_key", "root")
+        heads = open_.groupBy("bucket").agg(F.min(order).alias("head"))
+        pairs = open_.join(heads, "bucket").filter(F.col("root") != F.col("head.root"))
+        stars = pairs.select(
+            F.greatest("set_key", "head.set_key").alias("a"), F.least("set_key", "head.set_key").alias("b")
+        ).distinct()
+        found = landed(verified(landed(not_ruled_out(stars, classes), "stars"), sets), "links")
+        roots = merged(roots, found)
+    rest = in_mixed_buckets(shared, roots).withColumn("parts", F.ceil(F.col("members") / CELL))
+    roots = merged(roots, landed(links_across(rest, classes, sets).distinct(), "across"))
 
     rooted = classes.select("set_key", F.col("doc_id").alias("first_id")).join(
         roots.withColumnRenamed("node", "set_key"), "set_key", "left"

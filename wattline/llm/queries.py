@@ -17,10 +17,12 @@ from wattline.llm import (
     urls,
     warc,
 )
+from wattline.llm.shared import ship_package
 from wattline.workspace import new_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

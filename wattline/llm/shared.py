@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
+from pathlib import Path
 
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.workspace import new_folder
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers of the session, wherever they run. Once a session."""
+    context = spark.sparkContext
+    if not any(name.startswith("wattline-") for name in context._python_includes):
+        root = Path(__file__).resolve().parents[2]
+        target = f"{tempfile.mkdtemp(prefix='run-')}/wattline-{uuid.uuid4().hex}"
+        context.addPyFile(shutil.make_archive(target, "zip", root, "wattline"))
+
+
 def landed(df: DataFrame, label: str) -> DataFrame:
     """The rows as a table in the shared folder: lineage ends there, lost executors take nothing
     with them, and readers prune columns."""

@@ -19,8 +19,8 @@ import numpy as np
 from wattline.llm.words import GAP, batches, joined, span_hashes
 
 _KNOWN_CHARS = re.compile(r"[\t\n\r -~¡-¬®-ÿ]*")
-#: Words kept per worker (some 200 MB). Beyond, rare words are encoded again in each batch.
-KEPT_WORDS = 1_500_000
+#: Words kept per worker (some 150 MB). Beyond, rare words are encoded again in each batch.
+KEPT_WORDS = 1_000_000
 
 # Classes of Latin-1 characters.
 _GAP, _SPACE, _WHITE, _LETTER, _DIGIT, _SIGN = range(6)
