@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from wattline import workspace
 from wattline.operators import lookup
+from wattline.operators.reduce import minute_camera_sum
 from wattline.sources import readers, writers
 
 
@@ -23,7 +25,7 @@ def tables(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_the_plain_one(tables, how):
+def test_every_size_gives_the_plain_join(tables, how):
     facts, dim = tables
     expected = sorted(map(tuple, facts.join(dim, ["k"], how).collect()), key=str)
     for size in (lookup.BROADCAST_BYTES, 1, 0):
@@ -65,6 +67,43 @@ def test_upsert_replaces_and_keeps(spark, tmp_path):
     assert {p.name for p in (tmp_path / "t" / "date_key=b").iterdir()} == before
 
 
+def test_upsert_keeps_stored_rows_of_the_null_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "k int, date_key string, seq int"
+    stored = spark.createDataFrame([(1, None, 0), (2, "a", 0)], schema)
+    writers.append(stored, path, partition_by=["date_key"])
+    writers.upsert(spark, spark.createDataFrame([(3, None, 1)], schema), path, ["k"], "seq")
+    rows = {(r["k"], r["date_key"]) for r in spark.read.parquet(path).collect()}
+    assert rows == {(1, None), (2, "a"), (3, None)}
+
+
+def test_last_record_with_null_flags_gives_null_flags(spark):
+    schema = "space_id bigint, ts timestamp, value int, is_online boolean, is_scenario boolean"
+    at = datetime(2024, 1, 1, 0, 0)
+    readings = spark.createDataFrame(
+        [(1, at, 1, True, True), (1, at + timedelta(seconds=5), 2, None, False),
+         (2, at, 5, None, None)], schema,
+    )
+    got = {r["space_id"]: r for r in minute_camera_sum(readings).collect()}
+    assert (got[1]["value"], got[1]["is_online"], got[1]["is_scenario"]) == (3, None, False)
+    assert (got[2]["is_online"], got[2]["is_scenario"], got[2]["ts"]) == (None, None, at)
+
+
+def test_unshared_folder_off_one_machine_is_refused(monkeypatch, spark):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = type("C", (), {"get": lambda self, key, default=None: None})()
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_root(Session())
+
+
 def test_replaced_directory_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "batch_id=3")
     for _ in range(2):

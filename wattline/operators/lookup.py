@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from wattline.workspace import shared_root
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
 
 
 def stored_bytes(df: DataFrame) -> Column:
@@ -44,21 +43,17 @@ def lookup_join(
     on: list[str],
     how: str = "left",
     max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Join facts to a dimension without ever moving a hot key into one task.
+    """Join facts to a dimension.
 
     A dimension measured below ``max_bytes`` is broadcast, so the facts are not shuffled at all.
-    Beyond it both sides are shuffled on the key plus a salt: the facts of one key spread over
-    ``salts`` tasks by their whole content, the dimension is repeated once per salt; copies of one
-    row, which share a salt, are left to the skew handling of adaptive execution. Works for
-    ``inner``, ``left``, ``left_semi`` and ``left_anti``, where unmatched rows come from the facts.
-    ``max_bytes`` of zero skips the measurement, for a right side that is itself made from facts.
+    Beyond it both sides are shuffled on the key and nothing is repeated; adaptive execution splits
+    the partitions of a hot key. Works for ``inner``, ``left``, ``left_semi`` and ``left_anti``, where
+    unmatched rows come from the facts. ``max_bytes`` of zero skips the measurement, for a right side
+    that is itself made from facts.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     if max_bytes and fits_broadcast(dim, max_bytes):
         return facts.join(F.broadcast(dim), on, how)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
-    repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return facts.join(dim, on, how)

@@ -428,12 +428,12 @@ def extension_day_count(spark, sf):
 
 @query("target_day_sum")
 def target_day_sum(spark, sf):
-    return targets.day_sums(_hours_with_readings(spark, sf).filter("device_type is not null"))
+    return targets.day_sums(_hours_with_readings(spark, sf))
 
 
 @query("target_period_sum")
 def target_period_sum(spark, sf):
-    met = _hours_with_readings(spark, sf).filter("device_type is not null")
+    met = _hours_with_readings(spark, sf)
     return targets.period_sums(targets.day_sums(met))
 
 
@@ -502,7 +502,7 @@ def numeric_guard(spark, sf):
 
 @query("sort_multi_key")
 def sort_multi_key(spark, sf):
-    return v.meter_hourly(spark, sf).orderBy(F.desc("date_time_key"), *TRIPLE).limit(10000)
+    return reduce.top_rows(v.meter_hourly(spark, sf), [F.desc("date_time_key"), *TRIPLE], 100)
 
 
 @query("sort_by_key_reduce")
@@ -780,8 +780,17 @@ def stream_minute_camera(spark, sf):
 def stream_minute_co2(spark, sf):
     carry.use_rocksdb(spark)
     minutes = windows.minute_co2(v.numeric_readings_of(v.event_stream(spark, sf)))
-    carried = carry.carry_forward(minutes, "ts", step_seconds=60, max_steps=5)
-    return run.drain(spark, carried, new_folder(spark, "co2"))
+    carried = carry.carry_forward(minutes, "ts", step_seconds=60)
+    rows = run.drain(spark, carried, new_folder(spark, "co2"))
+    # Every repeat is made; the many rows are summed up per device and hour only in the end.
+    return rows.groupBy(*TRIPLE, F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
+        F.count(F.lit(1)).alias("minutes"),
+        F.count_if("carried").alias("carried"),
+        F.min("value").alias("least"),
+        F.max("value").alias("most"),
+        F.count_if("is_online").alias("online"),
+        F.count_if("is_scenario").alias("scenario"),
+    )
 
 
 @query("stream_carry_forward")

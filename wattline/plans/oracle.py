@@ -84,7 +84,7 @@ VIEWS = {
     "target_days": """SELECT CAST(CASE WHEN date_time_key > date_trunc('day', date_time_key) + INTERVAL '12' HOUR
           THEN date_time_key ELSE date_time_key - INTERVAL '24' HOUR END AS DATE) AS actual_date_key,
         order_id, on_rerent, device_type, CAST(sum(CAST(accumulate_value AS DECIMAL(18,2))) AS DOUBLE) AS accumulate_value
-        FROM met WHERE device_type IS NOT NULL GROUP BY ALL""",
+        FROM met GROUP BY ALL""",
     "keyed": """SELECT *, CASE WHEN date_time_key > date_trunc('day', date_time_key) + INTERVAL '11' HOUR
           THEN CAST(date_time_key AS DATE) + 1 ELSE CAST(date_time_key AS DATE) END AS date_key FROM hourly""",
     "daily": f"""SELECT {TRIPLE},
@@ -316,7 +316,7 @@ _BODIES = {
       WHERE pt IS NOT NULL AND ts >= TIMESTAMP '2024-01-15' AND NOT (space_id = 7 AND zone_device_id IN (
           SELECT zone_device_id FROM numbers WHERE ts < TIMESTAMP '2024-01-15'))""",
     "numeric_guard": f"""SELECT {TRIPLE}, ts, is_online, is_scenario, CAST(value AS DOUBLE) AS value FROM readings WHERE is_online""",
-    "sort_multi_key": f"SELECT * FROM hourly ORDER BY date_time_key DESC, {TRIPLE} LIMIT 10000",
+    "sort_multi_key": f"SELECT * FROM hourly ORDER BY date_time_key DESC, {TRIPLE} LIMIT 100",
     "sort_by_key_reduce": f"""SELECT {TRIPLE}, min(ts) AS first_ts, arg_min(value, ts) AS first_value, max(ts) AS last_ts,
         arg_max(value, ts) AS last_value FROM numbers GROUP BY {TRIPLE}""",
     "distinct_devices": f"SELECT DISTINCT {TRIPLE} FROM readings",
@@ -396,7 +396,10 @@ _BODIES = {
         CAST(sum(CAST(floor(value) AS INTEGER)) AS INTEGER) AS value,
         arg_max(event_type <> 'error', ts) AS is_online, arg_max(event_type = 'signup', ts) AS is_scenario,
         date_trunc('minute', ts) AS ts FROM events GROUP BY user_id % 50, date_trunc('minute', ts)) WHERE {_closed('ts', 'MINUTE')}""",
-    "stream_minute_co2": _carry("minutes", "ts", "MINUTE", 5),
+    "stream_minute_co2": f"""SELECT {TRIPLE}, date_trunc('hour', ts) AS hour, count(*) AS minutes,
+        count(*) FILTER (carried) AS carried, min(value) AS least, max(value) AS most,
+        count(*) FILTER (is_online) AS online, count(*) FILTER (is_scenario) AS scenario
+        FROM ({_carry("minutes", "ts", "MINUTE", None)}) GROUP BY ALL""",
     "stream_carry_forward": _carry("best", "date_time_key", "HOUR", None),
     "stream_ingest": f"""SELECT kind, {TRIPLE}, ts, is_online, is_scenario, value_double, value_int FROM typed
         WHERE kind IS NOT NULL""",

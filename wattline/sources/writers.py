@@ -7,6 +7,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattline.operators.lookup import settle
 from wattline.operators.reduce import latest_by_key
 
 # Fixed value: how long readings are kept.
@@ -59,8 +60,13 @@ def upsert(
     the rows, and the list of them is what the driver gets.
     """
     stored = spark.read.format(fmt).load(path)
+    # Settled, so that the rows written are the rows whose partitions were read.
+    new = settle(new.select(*stored.columns))
     touched = [row[0] for row in new.select(partition).distinct().collect()]
-    rows = stored.filter(F.col(partition).isin(touched)).unionByName(new.select(*stored.columns))
+    at_partition = F.col(partition).isin([x for x in touched if x is not None])
+    if None in touched:
+        at_partition = at_partition | F.col(partition).isNull()
+    rows = stored.filter(at_partition).unionByName(new)
     merged = latest_by_key(rows, [*keys, partition] if partition not in keys else keys, order)
     (
         merged.hint("rebalance", partition)
