@@ -149,11 +149,13 @@ def write_shards(placed: DataFrame, path: str, shard: str = "shard", slot: str =
 
 def digest(docs: DataFrame, shards: int = 40) -> DataFrame:
     """Per document: size, checksum of the text, and where it lies."""
-    own = docs.select("doc_id", "text")
+    # The checksum is taken before the exchange, so that texts stay where they are.
+    checksum = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    own = docs.select("doc_id", "text", checksum.alias("text_crc32"))
     return assign_shards(own, shards).select(
         "doc_id",
         F.col("bytes").alias("size"),
-        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        "text_crc32",
         F.lit("bytes").alias("law"),
         F.col("shard").cast("int").alias("shard"),
         "slot",
