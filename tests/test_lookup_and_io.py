@@ -5,11 +5,14 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from wattline import workspace
 from wattline.operators import lookup
 from wattline.operators.reduce import minute_camera_sum
+from wattline.plans import jobs
+from wattline.schemas import HISTORY_READING
 from wattline.sources import readers, writers
 
 
@@ -104,11 +107,41 @@ def test_unshared_folder_off_one_machine_is_refused(monkeypatch, spark):
         workspace.shared_root(Session())
 
 
-def test_replaced_directory_is_idempotent(spark, tmp_path):
-    path = str(tmp_path / "batch_id=3")
-    for _ in range(2):
-        writers.replace_partition(spark.range(4), path)
-    assert spark.read.parquet(path).count() == 4
+def test_replaced_partitions_are_idempotent(spark, tmp_path):
+    for unit in (1, 2, 2):
+        writers.replace_partitions(spark.range(4).withColumn("unit", F.lit(unit)), str(tmp_path), ["unit"])
+    assert spark.read.parquet(str(tmp_path)).count() == 8
+
+
+def test_first_upsert_makes_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    new = spark.createDataFrame([(1, "a", 1), (1, "a", 2)], "k int, date_key string, seq int")
+    writers.upsert(spark, new, path, ["k"], "seq")
+    assert [(r["k"], r["seq"]) for r in spark.read.parquet(path).collect()] == [(1, 2)]
+
+
+def test_loads_continue_from_the_stored_state_and_can_be_repeated(spark, tmp_path):
+    table, state = str(tmp_path / "table"), str(tmp_path / "state")
+    at = datetime(2024, 1, 1)
+    loads = [
+        [(0, 5.0), (0.1, 6.0)],  # two readings of one second
+        [(3 * 3600, 9.0)],
+        [(5 * 3600, 2.0)],
+    ]
+    for n in (0, 1, 1, 2):
+        rows = [(1, 1, 1, at + timedelta(seconds=s), True, False, x) for s, x in loads[n]]
+        jobs.load_hours(spark, spark.createDataFrame(rows, HISTORY_READING), n, table, state)
+    found = {(r["date_time_key"].hour, r["value"]) for r in spark.read.parquet(table).collect()}
+    assert found == {(0, 6.0), (1, 6.0), (2, 6.0), (3, 9.0), (4, 2.0), (5, 2.0)}
+    assert spark.read.parquet(table).count() == 6
+    assert [r["value"] for r in jobs.last_known(spark, state, 3).collect()] == ["2.0"]
+    assert [r["value"] for r in jobs.last_known(spark, state, 1).collect()] == ["6.0"]
+
+
+def test_empty_registry_has_no_rows_only_when_asked(spark, tmp_path):
+    assert readers.registry_scan(spark, str(tmp_path / "none"), missing_ok=True).count() == 0
+    with pytest.raises(AnalysisException):
+        readers.registry_scan(spark, str(tmp_path / "none"))
 
 
 def test_retention(spark):

@@ -19,8 +19,8 @@ QUERIES = spark_entry.QUERIES
 EAGER = {
     "stream_read_json", "registry_scan", "dated_table_scan", "sink_append", "upsert_latest",
     "csv_export", "registry_upsert", "stream_hourly_meter", "stream_minute_camera",
-    "stream_minute_co2", "stream_carry_forward", "stream_ingest", "q_history_backfill",
-    "q_wide_export",
+    "stream_minute_co2", "stream_carry_forward", "stream_ingest", "stream_ingest_cold",
+    "fill_incremental_load", "q_history_backfill", "q_wide_export",
 }
 
 
@@ -136,7 +136,34 @@ def test_day_range_prunes_date_partitions(spark, sf, tmp_path):
     assert "<= 2024-01-15" in partition_filters
 
 
+def booking_inputs(spark, sf):
+    return (v.bookings(spark, sf), v.booking_history(spark, sf), v.extensions(spark, sf), v.users(spark, sf), v.spaces(spark, sf))
+
+
+def test_target_and_wide_export_prune_date_partitions(spark, sf, tmp_path):
+    hourly = v.space_hourly(spark, sf, 9346).withColumn("date_key", F.to_date("date_time_key"))
+    hourly.write.partitionBy("date_key").parquet(str(tmp_path / "hourly"))
+    v.wide_readings(spark, sf).write.partitionBy("date_key").parquet(str(tmp_path / "wide"))
+    stored = spark.read.parquet(str(tmp_path / "hourly"))
+    whole, dated = (
+        jobs.consumption_target(
+            *booking_inputs(spark, sf), stored, "1998-06-30", F.lit("2024-02-01").cast("timestamp"), date_column=name
+        )
+        for name in (None, "date_key")
+    )
+    assert sorted(map(str, dated.collect())) == sorted(map(str, whole.collect()))
+    assert "date_key" in " ".join(re.findall(r"PartitionFilters: \[(.*?)\]", plan(dated)))
+    export = jobs.wide_day_export(spark.read.parquet(str(tmp_path / "wide")), "watermeter", "2024-01-05")
+    assert re.search(r"PartitionFilters: \[[^\]]*date_key#\d+ = 2024-01-05", plan(export))
+    assert export.count() == QUERIES["wide_export"](spark, sf).count() > 0
+
+
+def test_parts_are_counted_in_one_scan_of_the_readings(spark, sf):
+    """One scan of the readings and one for each of the three device tables they are joined with."""
+    assert plan(QUERIES["null_predicates"](spark, sf)).count("FileScan parquet") == 4
+
+
 def test_booking_job_prunes_large_tables_by_semi_join(spark, sf):
-    inputs = (v.bookings(spark, sf), v.booking_history(spark, sf), v.extensions(spark, sf), v.users(spark, sf), v.spaces(spark, sf))
+    inputs = booking_inputs(spark, sf)
     text = plan(jobs.booking_hours(*inputs, "1998-06-30"))
     assert text.count("LeftSemi") == 3

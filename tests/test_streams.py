@@ -101,6 +101,14 @@ def test_carry_equals_its_batch_twin_over_restarts(spark, tmp_path, max_steps):
     [
         (jobs.hourly_meter, {("00:00", 3.0, False), ("01:00", 3.0, True), ("02:00", 4.0, False)}),
         (jobs.minute_camera, {("00:05", 2), ("00:50", 3), ("02:10", 4)}),
+        (
+            jobs.minute_co2,
+            {
+                # The last reading moves the watermark to 03:10.
+                (f"{m // 60:02}:{m % 60:02}", 2.0 if m < 50 else 3.0 if m < 130 else 4.0, m not in (5, 50, 130))
+                for m in range(5, 190)
+            },
+        ),
     ],
 )
 def test_jobs_from_messages_to_a_dated_table(spark, tmp_path, job, expected):
@@ -134,9 +142,15 @@ def test_a_repeated_ingest_batch_changes_nothing(spark, tmp_path):
         [(1, d, d, START, True, "7", False) for d in (1, 2, 3, 4)],
         f"{TRIPLE_DDL}, ts timestamp, is_online boolean, value string, is_scenario boolean",
     )
-    targets = ingest.Targets(f"{tmp_path}/facts", f"{tmp_path}/devices", topic_fmt="noop", topic_options=None)
-    for _ in range(2):
+    targets = ingest.Targets(
+        f"{tmp_path}/facts", f"{tmp_path}/devices", topic_fmt="json", topic_options={"path": f"{tmp_path}/sent"}
+    )
+    for sent in (2, 4):
         ingest.write_batch(batch, 5, tables, targets)
+        # Once per run of the batch, and only what is routed.
+        assert spark.read.json(f"{tmp_path}/sent").count() == sent
+    topics = {r["topic"] for r in spark.read.json(f"{tmp_path}/sent").collect()}
+    assert topics == {enrich.TOPICS["meter"], enrich.TOPICS["camera"]}
     facts = spark.read.parquet(targets.facts)
     assert sorted((r["zone_device_id"], r["kind"], r["batch_id"]) for r in facts.collect()) == [
         (1, "meter", 5), (2, "camera", 5),

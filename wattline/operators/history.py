@@ -25,10 +25,12 @@ def wide_export(wide: DataFrame, device_type: str, day: Column, ordered: bool =
     """All 34 columns of one device type and day, times as text, ordered by device.
 
     Time and id follow the device in the order, so that the sort can split a device with very many
-    rows over several tasks.
+    rows over several tasks. ``date_key`` is the date of year, month and day; tables partitioned by it
+    are pruned.
     """
     picked = wide.filter(
         (F.col("device_type") == device_type)
+        & (F.col("date_key").cast("date") == day)
         & (F.col("year") == F.year(day))
         & (F.col("month") == F.month(day))
         & (F.col("day") == F.dayofmonth(day))

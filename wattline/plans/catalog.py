@@ -18,7 +18,8 @@ from wattline.operators import enrich, gapfill, history, reduce, targets
 from wattline.plans import jobs
 from wattline.schemas import READING, TRIPLE
 from wattline.sources import readers, sample_views as v, writers
-from wattline.streaming import carry, ingest, run, windows
+from wattline.streaming import ingest, run, windows
+from wattline.streaming import jobs as stream_jobs
 from wattline.workspace import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,15 +93,15 @@ def stream_read_json(spark, sf):
 
 @query("scan_fixed_schema")
 def scan_fixed_schema(spark, sf):
-    declared = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+    declared = (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    )
     return readers.scan(spark, schema=declared, path=f"{sf}/events.parquet")
 
 
 @query("scan_inferred_schema")
 def scan_inferred_schema(spark, sf):
-    return readers.scan(spark, path=f"{sf}/orders.parquet").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"
-    )
+    return readers.scan(spark, path=f"{sf}/orders.parquet")
 
 
 @query("registry_scan")
@@ -275,22 +276,16 @@ def override_space(spark, sf):
 
 @query("null_predicates")
 def null_predicates(spark, sf):
-    registry, invalid, master = _device_tables(spark, sf)
-    devices = enrich.enrich(enrich.live(v.readings(spark, sf)), registry)
-    unknown = enrich.unknown(devices)
-    rest = enrich.not_yet_invalid(unknown.select(*READING), invalid)
-    resolved = enrich.resolve(rest, master)
+    route = F.col("route")
     parts = {
-        "known": enrich.known(devices),
-        "unknown": unknown,
-        "newly_known": resolved.filter("device_type_c is not null"),
-        "invalid": resolved.filter("device_type_c is null"),
+        "known": route == "known",
+        "unknown": route != "known",
+        "newly_known": route == "newly_known",
+        "invalid": route == "invalid",
     }
-    counted = [
-        part.agg(F.count(F.lit(1)).alias("readings")).select(F.lit(name).alias("part"), "readings")
-        for name, part in parts.items()
-    ]
-    return fold(DataFrame.unionByName, counted)
+    routed = enrich.classify(enrich.live(v.readings(spark, sf)), *_device_tables(spark, sf))
+    counted = routed.agg(*(F.count_if(of_part).alias(name) for name, of_part in parts.items()))
+    return counted.unpivot([], list(parts), "part", "readings")
 
 
 @query("wide_export")
@@ -473,10 +468,13 @@ def fill_between_min(spark, sf):
     return gapfill.fill_between(v.meter_hourly(spark, sf), "date_time_key", unique_times=True)
 
 
-@query("fill_incremental")
-def fill_incremental(spark, sf):
+def _two_loads(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     r = v.numeric_readings(spark, sf)
-    old, new = r.filter(F.col("ts") < AS_OF), r.filter(F.col("ts") >= AS_OF)
+    return r.filter(F.col("ts") < AS_OF), r.filter(F.col("ts") >= AS_OF)
+
+
+def _filled_on_state(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    old, new = _two_loads(spark, sf)
     last_known = (
         old.groupBy(*TRIPLE)
         .agg(F.max(F.struct("ts", "value")).alias("last"))
@@ -487,8 +485,27 @@ def fill_incremental(spark, sf):
             F.when(F.col("space_id") == 7, "n/a").otherwise(F.col("last.value").cast("string")).alias("value"),
         )
     )
-    rows, _ = gapfill.fill_incremental(new, last_known)
-    return rows
+    return gapfill.fill_incremental(new, last_known)
+
+
+@query("fill_incremental")
+def fill_incremental(spark, sf):
+    return _filled_on_state(spark, sf)[0]
+
+
+@query("fill_incremental_state")
+def fill_incremental_state(spark, sf):
+    return _filled_on_state(spark, sf)[1]
+
+
+@query("fill_incremental_load")
+def fill_incremental_load(spark, sf):
+    folder = new_folder(spark, "loads")
+    for load, readings in enumerate(_two_loads(spark, sf)):
+        jobs.load_hours(spark, readings, load, f"{folder}/table", f"{folder}/state")
+    return readers.scan(spark, path=f"{folder}/table").select(
+        *TRIPLE, "date_time_key", "value", *schemas.FLAGS
+    )
 
 
 @query("numeric_guard")
@@ -764,6 +781,22 @@ def string_contains(spark, sf):
 # -- streams ------------------------------------------------------------------------------------
 
 
+def _job_table(spark: SparkSession, job: Callable, readings: DataFrame) -> DataFrame:
+    """The dated table a stream job makes of readings that come as JSON texts."""
+    folder = new_folder(spark, "job")
+    body = F.struct(*(F.col(c).cast("string").alias(c) if c == "ts" else c for c in readings.columns))
+    readings.select(F.to_json(body).alias("value")).write.text(f"{folder}/in")
+    started = job(
+        readers.read_messages(spark, "text", {"path": f"{folder}/in"}),
+        f"{folder}/out",
+        f"{folder}/checkpoint",
+        trigger={"availableNow": True},
+        partitions=spark.sparkContext.defaultParallelism,
+    )
+    started.awaitTermination()
+    return readers.scan(spark, path=f"{folder}/out").drop("date_key")
+
+
 @query("stream_hourly_meter")
 def stream_hourly_meter(spark, sf):
     readings = v.numeric_readings_of(v.event_stream(spark, sf))
@@ -772,16 +805,12 @@ def stream_hourly_meter(spark, sf):
 
 @query("stream_minute_camera")
 def stream_minute_camera(spark, sf):
-    readings = v.camera_readings_of(v.event_stream(spark, sf))
-    return run.drain(spark, windows.minute_camera(readings), new_folder(spark, "camera"))
+    return _job_table(spark, stream_jobs.minute_camera, v.camera_readings_of(v.events(spark, sf)))
 
 
 @query("stream_minute_co2")
 def stream_minute_co2(spark, sf):
-    carry.use_rocksdb(spark)
-    minutes = windows.minute_co2(v.numeric_readings_of(v.event_stream(spark, sf)))
-    carried = carry.carry_forward(minutes, "ts", step_seconds=60)
-    rows = run.drain(spark, carried, new_folder(spark, "co2"))
+    rows = _job_table(spark, stream_jobs.minute_co2, v.numeric_readings(spark, sf))
     # Every repeat is made; the many rows are summed up per device and hour only in the end.
     return rows.groupBy(*TRIPLE, F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
         F.count(F.lit(1)).alias("minutes"),
@@ -795,26 +824,28 @@ def stream_minute_co2(spark, sf):
 
 @query("stream_carry_forward")
 def stream_carry_forward(spark, sf):
-    carry.use_rocksdb(spark)
-    hours = windows.hourly_meter(v.numeric_readings_of(v.event_stream(spark, sf)))
-    carried = carry.carry_forward(hours, "date_time_key", step_seconds=3600)
-    return run.drain(spark, carried, new_folder(spark, "carry"))
+    return _job_table(spark, stream_jobs.hourly_meter, v.numeric_readings(spark, sf))
 
 
-@query("stream_ingest")
-def stream_ingest(spark, sf):
+def _ingested(spark: SparkSession, sf: str, seeded: bool) -> DataFrame:
+    """Facts of all messages, from a registry that is filled or that has nothing yet."""
     folder = new_folder(spark, "ingest")
     _raw_messages(spark, sf).write.text(f"{folder}/in")
-    registry, invalid, _ = _device_tables(spark, sf)
-    kinds = F.create_map(*(F.lit(x) for p in enrich.REGISTRY_TABLES.items() for x in p))
-    seed = registry.withColumn("table", kinds[enrich.kind_of(F.col("device_type"))]).unionByName(
-        invalid.withColumn("table", F.lit(enrich.INVALID_TABLE)), allowMissingColumns=True
-    )
     devices = f"{folder}/devices"
-    writers.write_registry(seed.withColumn("key", sc.device_key()), devices, "seed")
+    if seeded:
+        registry, invalid, _ = _device_tables(spark, sf)
+        kinds = F.create_map(*(F.lit(x) for p in enrich.REGISTRY_TABLES.items() for x in p))
+        seed = registry.withColumn("table", kinds[enrich.kind_of(F.col("device_type"))]).unionByName(
+            invalid.withColumn("table", F.lit(enrich.INVALID_TABLE)), allowMissingColumns=True
+        )
+        writers.write_registry(seed.withColumn("key", sc.device_key()), devices, "seed")
+
+    def registered(tables: str):
+        return lambda s: readers.registry_scan(s, devices, f"table={tables}", missing_ok=True)
+
     tables = ingest.Tables(
-        registry=lambda s: readers.registry_scan(s, devices, "table=DEVICE_*"),
-        invalid=lambda s: readers.registry_scan(s, devices, f"table={enrich.INVALID_TABLE}"),
+        registry=registered("DEVICE_*"),
+        invalid=registered(enrich.INVALID_TABLE),
         master=lambda s: v.binding_master(s, sf),
     )
     messages = readers.read_stream(spark, "text", {"path": f"{folder}/in"})
@@ -829,6 +860,16 @@ def stream_ingest(spark, sf):
     return readers.scan(spark, path=f"{folder}/facts").select(*ingest.FACTS)
 
 
+@query("stream_ingest")
+def stream_ingest(spark, sf):
+    return _ingested(spark, sf, seeded=True)
+
+
+@query("stream_ingest_cold")
+def stream_ingest_cold(spark, sf):
+    return _ingested(spark, sf, seeded=False)
+
+
 # -- jobs ---------------------------------------------------------------------------------------
 
 

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.functions.timecols import cut_of, day_range
 from wattline.operators import bookings as bk
 from wattline.operators import enrich, gapfill, history, reduce, targets
 from wattline.operators.lookup import lookup_join
-from wattline.schemas import READING, TRIPLE
-from wattline.sources.readers import since, time_range
+from wattline.schemas import LAST_KNOWN, READING, TRIPLE
+from wattline.sources.readers import since, stored_or_empty, time_range
+from wattline.sources.writers import replace_partitions, upsert
 
 
 def ingest(
@@ -51,6 +52,31 @@ def hourly_filled(
     return filled.withColumnRenamed("ts", "date_time_key")
 
 
+def last_known(spark: SparkSession, state: str, load: int) -> DataFrame:
+    """The last-known readings that the newest load before ``load`` left; none before the first."""
+    earlier = stored_or_empty(spark, state, LAST_KNOWN).filter(F.col("load") < load)
+    newest = earlier.agg(F.max("load").alias("load")).first()["load"]
+    return earlier.filter(F.col("load") == F.lit(newest).cast("int")).drop("load")
+
+
+def load_hours(
+    spark: SparkSession, readings: DataFrame, load: int, table: str, state: str, unique_times: bool = False
+) -> None:
+    """One load of the incremental fill, into ``table``, which holds one row per device and time.
+
+    Readings of one device and second replace each other: that of the newest load stays, then that of
+    the greatest value. What the load leaves as last known goes to ``state``, numbered, so a load that
+    is run again starts from the same readings and replaces what it wrote.
+    """
+    whole = readings.select(*READING).withColumn("ts", F.date_trunc("second", "ts"))
+    rows, latest = gapfill.fill_incremental(whole, last_known(spark, state, load), "ts", unique_times)
+    dated = rows.withColumnRenamed("ts", "date_time_key").withColumns(
+        {"load": F.lit(load), "date_key": F.to_date("date_time_key")}
+    )
+    upsert(spark, dated, table, [*TRIPLE, "date_time_key"], "load")
+    replace_partitions(latest.withColumn("load", F.lit(load)), state, ["load"])
+
+
 def missing_dates(
     readings: DataFrame,
     start: Any | None = None,
@@ -147,16 +173,19 @@ def consumption_target(
     created_at: Column,
     order_id: int | None = None,
     repeat_start: bool = False,
+    date_column: str | None = None,
 ) -> DataFrame:
-    """Consumption per booking and device type over the window, without its extension days."""
+    """Consumption per booking and device type over the window, without its extension days.
+
+    ``date_column`` names the calendar date the readings are partitioned by, if they are.
+    """
     period = bk.Period(as_of)
     windows = bk.booked_windows(
         bookings, history, extensions, users, spaces, period, order_id, repeat_start
     )
     midnight = F.lit(as_of).cast("timestamp")
-    in_window = time_range(
-        readings, "date_time_key", cut_of(midnight, 12, -period.days - 1), cut_of(midnight, 13)
-    )
+    bounds = cut_of(midnight, 12, -period.days - 1), cut_of(midnight, 13)
+    in_window = time_range(readings, "date_time_key", *bounds, date_column)
     return targets.consumption_target(windows, in_window, period, created_at)
 
 

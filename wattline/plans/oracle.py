@@ -210,8 +210,8 @@ _SPAN = f"generate_series({_DAY}, {_FIX}, INTERVAL '1' DAY)"
 
 _BODIES = {
     "stream_read_json": f"SELECT {TRIPLE}, ts, is_online, value, is_scenario FROM readings",
-    "scan_fixed_schema": "SELECT event_id, ts, user_id, event_type, value FROM events",
-    "scan_inferred_schema": "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders",
+    "scan_fixed_schema": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+    "scan_inferred_schema": "SELECT * FROM orders",
     "registry_scan": f"""SELECT concat(space_id, '-', zone_device_id, '-', zone_device_control_id) AS _id, {TRIPLE},
         device_type, zone_device_control_tag FROM registry""",
     "dated_table_scan": f"""SELECT CAST(date_time_key AS DATE) AS date_key, date_time_key, date_time_key AS create_at,
@@ -315,6 +315,14 @@ _BODIES = {
       unnest(range(pt + INTERVAL '1' HOUR, ts, INTERVAL '1' HOUR)) AS t(h)
       WHERE pt IS NOT NULL AND ts >= TIMESTAMP '2024-01-15' AND NOT (space_id = 7 AND zone_device_id IN (
           SELECT zone_device_id FROM numbers WHERE ts < TIMESTAMP '2024-01-15'))""",
+    "fill_incremental_state": f"""SELECT {TRIPLE}, CASE WHEN spoiled THEN old_ts ELSE last_ts END AS ts,
+        CASE WHEN spoiled THEN 'n/a' ELSE CAST(last_value AS VARCHAR) END AS value FROM (
+          SELECT {TRIPLE}, max(ts) FILTER (ts < TIMESTAMP '2024-01-15') AS old_ts, max(ts) AS last_ts,
+            arg_max(value, ts) AS last_value, space_id = 7 AND min(ts) < TIMESTAMP '2024-01-15' AS spoiled
+          FROM numbers GROUP BY {TRIPLE})""",
+    "fill_incremental_load": f"""SELECT {TRIPLE}, ts AS date_time_key, value, is_online, is_scenario FROM (
+        SELECT *, row_number() OVER (PARTITION BY {TRIPLE}, ts
+          ORDER BY value DESC, is_online DESC, is_scenario DESC) AS rn FROM ({_fill_between('whole', 'ts')})) WHERE rn = 1""",
     "numeric_guard": f"""SELECT {TRIPLE}, ts, is_online, is_scenario, CAST(value AS DOUBLE) AS value FROM readings WHERE is_online""",
     "sort_multi_key": f"SELECT * FROM hourly ORDER BY date_time_key DESC, {TRIPLE} LIMIT 100",
     "sort_by_key_reduce": f"""SELECT {TRIPLE}, min(ts) AS first_ts, arg_min(value, ts) AS first_value, max(ts) AS last_ts,
@@ -403,6 +411,11 @@ _BODIES = {
     "stream_carry_forward": _carry("best", "date_time_key", "HOUR", None),
     "stream_ingest": f"""SELECT kind, {TRIPLE}, ts, is_online, is_scenario, value_double, value_int FROM typed
         WHERE kind IS NOT NULL""",
+    "stream_ingest_cold": f"""SELECT kind, {TRIPLE}, ts, is_online, is_scenario,
+        CASE WHEN kind IN ('meter', 'co2') THEN TRY_CAST(value AS DOUBLE) END AS value_double,
+        CASE WHEN kind = 'camera' AND regexp_full_match(value, '[+-]?[0-9]+') THEN TRY_CAST(value AS INTEGER) END AS value_int
+        FROM (SELECT l.*, CASE m.device_type_c WHEN 'camera' THEN 'camera' WHEN 'airpurifiercontrol' THEN 'co2'
+            ELSE 'meter' END AS kind FROM live l JOIN master m USING ({TRIPLE}))""",
     "q_ingest_route": f"SELECT {TRIPLE}, ts, route, kind, device_type, value_double, value_int FROM typed",
     "q_hourly_meter": "SELECT * FROM best",
     "q_hourly_filled": f"SELECT * RENAME (ts AS date_time_key) FROM ({_fill_between('whole', 'ts')})",

@@ -44,7 +44,15 @@ HOURLY_METER = (
     "space_id bigint, zone_device_id bigint, zone_device_control_id bigint, date_time_key timestamp, "
     "is_online boolean, is_scenario boolean, value double"
 )
-HISTORY_RESPONSE = f"data struct<reads: array<struct<{RAW_READING.replace(' ', ': ').replace(',:', ',')}>>>"
+REGISTRY_ROW = (
+    "_id string, space_id bigint, zone_device_id bigint, zone_device_control_id bigint, "
+    "zone_device_control_tag int, device_type string, table string, unit string"
+)
+LAST_KNOWN = (
+    "space_id bigint, zone_device_id bigint, zone_device_control_id bigint, ts timestamp, "
+    "value string, load int"
+)
+HISTORY_RESPONSE =f"data struct<reads: array<struct<{RAW_READING.replace(' ', ': ').replace(',:', ',')}>>>"
 
 # The 34 columns of the wide export, in output order.
 WIDE_EXPORT = [

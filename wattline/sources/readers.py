@@ -5,11 +5,13 @@ from __future__ import annotations
 from datetime import date
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wattline.functions.scalars import has_dash
-from wattline.schemas import RAW_READING, TRIPLE
+from wattline.schemas import RAW_READING, REGISTRY_ROW, TRIPLE
 
 
 def topic_options(
@@ -72,6 +74,22 @@ def scan(
     return reader.load(path) if path else reader.load()
 
 
+def stored_or_empty(
+    spark: SparkSession,
+    path: str,
+    schema: str | StructType,
+    fmt: str = "parquet",
+    options: dict[str, str] | None = None,
+) -> DataFrame:
+    """A table, or no rows of ``schema`` when nothing has been written to it yet."""
+    try:
+        return scan(spark, fmt, options, path=path)
+    except AnalysisException as failed:
+        if failed.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def registry_scan(
     spark: SparkSession,
     root: str,
@@ -79,13 +97,19 @@ def registry_scan(
     fmt: str = "parquet",
     id_column: str = "_id",
     keyed_only: bool = True,
+    missing_ok: bool = False,
 ) -> DataFrame:
     """Registry tables whose folder name matches a glob; by default only rows whose id has a dash.
 
-    Ids may be stored as text, hence the casts.
+    Ids may be stored as text, hence the casts. With ``missing_ok`` a registry into which nothing has
+    been written yet has no rows; otherwise it is an error.
     """
     root = root.rstrip("/")
-    found = spark.read.format(fmt).option("basePath", root).load(f"{root}/{tables}")
+    options = {"basePath": root}
+    if missing_ok:
+        found = stored_or_empty(spark, f"{root}/{tables}", REGISTRY_ROW, fmt, options)
+    else:
+        found = scan(spark, fmt, options, path=f"{root}/{tables}")
     if keyed_only:
         found = found.filter(has_dash(F.col(id_column)))
     return found.withColumns({c: F.col(c).cast("bigint") for c in TRIPLE})

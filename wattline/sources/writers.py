@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wattline.operators.lookup import settle
 from wattline.operators.reduce import latest_by_key
+from wattline.sources.readers import stored_or_empty
 
 # Fixed value: how long readings are kept.
 RETENTION_SECONDS = 10_000_000
@@ -37,11 +38,19 @@ def retained(df: DataFrame, column: str, as_of: Any, seconds: int = RETENTION_SE
     return df.filter(F.col(column) >= oldest)
 
 
-def replace_partition(
-    df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet"
 ) -> None:
-    """Write a directory that belongs to one unit of work; doing it again changes nothing."""
-    df.write.format(fmt).mode("overwrite").partitionBy(*(partition_by or [])).save(path)
+    """Replace the partitions that the rows lie in. With the unit of work as last partition column,
+    writing the same rows again changes nothing."""
+    (
+        df.hint("rebalance", *partition_by)
+        .write.format(fmt)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by)
+        .save(path)
+    )
 
 
 def upsert(
@@ -57,9 +66,9 @@ def upsert(
 
     Only the partitions the new rows touch are read and replaced. ``partition`` must be a function
     of the keys; its values name directories, so their number is bounded by the calendar and not by
-    the rows, and the list of them is what the driver gets.
+    the rows, and the list of them is what the driver gets. The first load makes the table.
     """
-    stored = spark.read.format(fmt).load(path)
+    stored = stored_or_empty(spark, path, new.schema, fmt)
     # Settled, so that the rows written are the rows whose partitions were read.
     new = settle(new.select(*stored.columns))
     touched = [row[0] for row in new.select(partition).distinct().collect()]
@@ -68,14 +77,7 @@ def upsert(
         at_partition = at_partition | F.col(partition).isNull()
     rows = stored.filter(at_partition).unionByName(new)
     merged = latest_by_key(rows, [*keys, partition] if partition not in keys else keys, order)
-    (
-        merged.hint("rebalance", partition)
-        .write.format(fmt)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .save(path)
-    )
+    replace_partitions(merged, path, [partition], fmt)
 
 
 def jdbc_append(df: DataFrame, table: str, options: dict[str, str], connections: int = 8) -> None:
@@ -91,7 +93,7 @@ def csv_export(df: DataFrame, path: str) -> None:
 
 def publish(frame: DataFrame, options: dict[str, str], fmt: str = "kafka") -> None:
     """Send frames of (topic, key, value)."""
-    frame.write.format(fmt).options(**options).save()
+    frame.write.format(fmt).mode("append").options(**options).save()
 
 
 def write_registry(rows: DataFrame, root: str, unit: Column | str, fmt: str = "parquet") -> None:

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wattline.operators import enrich
 from wattline.plans.jobs import ingest
 from wattline.schemas import FLAGS, TRIPLE
-from wattline.sources.writers import publish, replace_partition, write_registry
+from wattline.sources.writers import publish, replace_partitions, write_registry
 
 FACTS = ["kind", *TRIPLE, "ts", *FLAGS, "value_double", "value_int"]
 
@@ -29,8 +29,8 @@ class Tables:
 
 @dataclass(frozen=True)
 class Targets:
-    """Where a micro-batch goes. Facts lie below ``batch_id=.../kind=...``. Without topic options no
-    messages are published."""
+    """Where a micro-batch goes. Facts lie below ``date_key=.../kind=.../batch_id=...``. Without topic
+    options no messages are published."""
 
     facts: str
     registry: str
@@ -41,16 +41,18 @@ class Targets:
 
 
 def write_batch(batch: DataFrame, batch_id: int, tables: Tables, targets: Targets) -> None:
-    """Route one micro-batch and write it. Facts and registry rows go to directories of this batch,
-    so a batch that is run again after a failure replaces what it wrote; messages are published at
-    least once."""
+    """Route one micro-batch and write it. Facts and registry rows go to directories of this batch
+    (facts below their date and kind, so that later scans prune), and a batch that is run again after
+    a failure replaces what it wrote; messages are published at least once."""
     spark = batch.sparkSession
     routed = ingest(
         batch, tables.registry(spark), tables.invalid(spark), tables.master(spark)
     ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        facts = routed.filter(F.col("kind").isNotNull()).select(*FACTS)
-        replace_partition(facts, f"{targets.facts}/batch_id={batch_id}", targets.fmt, ["kind"])
+        facts = routed.filter(F.col("kind").isNotNull()).select(
+            *FACTS, F.to_date("ts").alias("date_key"), F.lit(batch_id).alias("batch_id")
+        )
+        replace_partitions(facts, targets.facts, ["date_key", "kind", "batch_id"], targets.fmt)
         if targets.topic_options is not None:
             publish(enrich.messages(routed, targets.topics), targets.topic_options, targets.topic_fmt)
         write_registry(
@@ -66,13 +68,16 @@ def start_ingest(
     targets: Targets,
     checkpoint: str,
     trigger: dict | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
-    """Start ingest of a stream with the parsed message in ``data``."""
+    """Start ingest of a stream with the parsed message in ``data``. A query name must be the only one
+    of the session; without it several streams can run side by side."""
     writer = (
         enrich.live(enrich.flatten(messages))
-        .writeStream.queryName("ingest")
-        .outputMode("update")
+        .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, tables, targets))
     )
+    if name is not None:
+        writer = writer.queryName(name)
     return (writer.trigger(**trigger) if trigger else writer).start()
