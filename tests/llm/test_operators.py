@@ -293,6 +293,43 @@ def test_mixture_stays_within_a_block_of_its_target(docs, nothing):
     assert mixing.in_mixed_order(docs).columns == docs.columns
 
 
+def test_mixture_keeps_the_exact_weights_at_any_length(spark):
+    """Rounded to parts of 2,048, the rare source is more than a block off after 2,200 slots."""
+    n, parts = 12_000, {"rare": 1, "often": 999}
+    source = F.when(F.col("id") < 30, "rare").otherwise("often")
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), source.alias("source"))
+    mixed = mixing.mix(docs, parts, block_rows=1)
+    rows = sorted(mixed.collect(), key=lambda r: r["slot"])
+    assert [r["slot"] for r in rows] == list(range(n))
+    count, alone = dict.fromkeys(parts, 0), False
+    for r in rows:
+        s, i = r["source"], count[r["source"]]
+        count[s] += 1
+        done = r["slot"] + 1
+        if not alone:
+            assert all(abs(1000 * count[k] - done * w) < 1000 for k, w in parts.items()), done
+            assert (r["block"], r["release"]) == (i, i * 1000 // parts[s])
+            assert r["deadline"] == -(-(i + 1) * 1000 // parts[s])
+        assert r["release"] <= r["slot"] < r["deadline"]
+        alone = alone or count["often"] == n - 30 or count["rare"] == 30
+    assert count == {"rare": 30, "often": n - 30}
+
+
+def test_mixture_pieces_join_without_seam():
+    rng = random.Random(9)
+    for _ in range(40):
+        blocks = {f"s{i}": rng.randint(1, 900) for i in range(rng.randint(1, 8))}
+        weights = {s: rng.random() ** 3 + 1e-3 for s in blocks}
+        for p in mixing.plan_phases(blocks, weights, 1):
+            total = sum(weights[s] for s in p.parts)
+            share = {s: weights[s] / total for s in p.parts}
+            turn = {x: s for s, xs in p.slots.items() for x in xs}
+            count = dict.fromkeys(p.parts, 0)
+            for x in range(p.end - p.start):
+                count[turn[x]] += 1
+                assert all(abs(n - (x + 1) * share[s]) < 1 + 1e-9 for s, n in count.items())
+
+
 def test_url_lists_hold_for_their_intervals(spark):
     captures = spark.createDataFrame(
         [(1, "https://www.x.bad.com/a/?q", 5), (2, "https://x.bad.com/", 15), (3, None, 5), (4, "http://ok.org/p/", 9),

@@ -5,10 +5,13 @@ not come before slot ``floor(i / w)`` and must come before slot ``ceil((i + 1) /
 block with the earliest deadline goes first. At every slot each source is then less than one block
 away from its share.
 
-Weights are rounded to ``PERIOD`` parts, so the schedule repeats: one period is planned, and the block
-of a document takes its slot by number. When a source has no blocks left, the others keep their
-proportions in a new phase; there are at most as many phases as sources. Plans grow with the sources,
-not with the documents. Nothing is dropped or repeated.
+Weights are not rounded: they are whole parts of their sum, in integers of any size. When a source has
+no blocks left, the others keep their proportions in a new phase; there are at most as many phases as
+sources. The driver plans only the end of each phase. Slots are a table: a phase is cut into pieces, and
+a task plans a piece from the counts at both its ends. Counts at a cut depend on the cut alone: they are
+those reached from the state that is ahead where deadlines are earliest, ``warm_up`` slots before, in
+which every source gets a block. A phase shorter than that, with a source of tiny weight, is planned
+whole. Nothing is dropped or repeated.
 
 Defined results: a null source is a source of its own; sources without a positive weight come after
 all others, in proportion to their blocks; the last block of a source may be short; repeated rows stay;
@@ -18,78 +21,181 @@ an empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from fractions import Fraction
+from math import lcm
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wattline.llm.shared import free_name, hashed_order
+from wattline.llm.shared import free_name, hashed_order, landed
 
+#: ``PERIOD``: slots that a task plans at a time, at least.
 PERIOD, BLOCK_ROWS, BUCKETS = 2048, 16, 4096
-#: Rows of a plan that are sent to every task; longer plans are joined like any other table.
-SENT_ROWS = 200_000
+#: Deadlines beyond the range of a column are given as its end.
+FARTHEST = (1 << 63) - 1
+SLOT_ROWS = 65_536
+
+
+def whole_parts(weights: Mapping[str, float]) -> dict[str, int]:
+    """The weights, in the same proportions, as whole numbers."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    scale = lcm(*(x.denominator for x in exact.values()))
+    return {s: int(x * scale) for s, x in exact.items()}
+
+
+def warm_up(parts: list[int]) -> int:
+    """Slots in which every source gets a block."""
+    return -(-sum(parts) // min(parts))
+
+
+def earliest_deadline_first(
+    parts: list[int], done: list[int], start: int, stop: int | None = None, until: list[int] | None = None
+) -> Iterator[tuple[int, int, int]]:
+    """(slot, source, block) from slot ``start`` on, where sources have had ``done`` blocks."""
+    total = sum(parts)
+    waiting = [(i * total // n, s, i) for s, (n, i) in enumerate(zip(parts, done, strict=True))]
+    if until:
+        waiting = [x for x in waiting if x[2] < until[x[1]]]
+    heapq.heapify(waiting)
+    ready: list[tuple[int, int, int]] = []  # deadline, source, block
+    slot = start
+    while stop is None or slot < stop:
+        while waiting and waiting[0][0] <= slot:
+            _, s, i = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(i + 1) * total // parts[s]), s, i))
+        _, s, i = heapq.heappop(ready)
+        yield slot, s, i
+        if not until or i + 1 < until[s]:
+            heapq.heappush(waiting, ((i + 1) * total // parts[s], s, i + 1))
+        slot += 1
+
+
+def early_state(parts: list[int], slot: int) -> list[int]:
+    """Blocks before a slot: shares rounded up where the pending deadline is earliest, else down."""
+    total = sum(parts)
+    done = [n * slot // total for n in parts]
+    pending = [s for s, n in enumerate(parts) if n * slot % total]
+    pending.sort(key=lambda s: (-(-(done[s] + 1) * total // parts[s]), s))
+    for s in pending[: slot - sum(done)]:
+        done[s] += 1
+    return done
+
+
+def state_at(parts: list[int], slot: int) -> list[int]:
+    """Blocks before a slot, the same from whichever piece they are asked."""
+    start = max(0, slot - warm_up(parts))
+    done = early_state(parts, start)
+    for _, s, _ in earliest_deadline_first(parts, list(done), start, slot):
+        done[s] += 1
+    return done
+
+
+def piece_slots(
+    parts: list[int], length: int, ends: list[int], piece: int, number: int
+) -> Iterator[tuple[int, int, int]]:
+    """(slot, source, block) of a piece of a phase; the last piece takes what is left."""
+    last = number + 1 == max(1, length // piece)
+    start, stop = number * piece, length if last else (number + 1) * piece
+    until = ends if last else state_at(parts, stop)
+    return earliest_deadline_first(parts, state_at(parts, start), start, stop, until)
 
 
 @dataclass(frozen=True)
 class Phase:
-    """From ``start`` on, source ``s`` gets ``parts[s]`` of every ``period`` slots."""
+    """From ``start`` on, source ``s`` gets ``parts[s]`` of every ``period`` slots, which is not less
+    than the phase; ``piece`` slots are planned at a time."""
 
     start: int
     period: int
     parts: dict[str, int]
     first_block: dict[str, int]
-    slots: dict[str, list[int]]
+    last_block: dict[str, int]
     end: int
+    piece: int
 
+    @property
+    def pieces(self) -> int:
+        return max(1, (self.end - self.start) // self.piece)
 
-def whole_parts(weights: Mapping[str, float], period: int) -> dict[str, int]:
-    """Weights as positive whole numbers that add up to the period, by largest remainder."""
-    total, spare = sum(weights.values()), period - len(weights)
-    exact = {s: w / total * spare for s, w in weights.items()}
-    parts = {s: 1 + int(x) for s, x in exact.items()}
-    rest = sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))
-    for s in rest[: period - sum(parts.values())]:
-        parts[s] += 1
-    return parts
-
-
-def earliest_deadline_first(parts: Mapping[str, int], period: int) -> dict[str, list[int]]:
-    """Slots of one period for every source."""
-    waiting = [(0, s, 0) for s in sorted(parts)]  # release, source, block
-    heapq.heapify(waiting)
-    ready: list[tuple[int, str, int]] = []  # deadline, source, block
-    slots: dict[str, list[int]] = {s: [] for s in parts}
-    for slot in range(period):
-        while waiting and waiting[0][0] <= slot:
-            _, s, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(i + 1) * period // parts[s]), s, i))
-        _, s, i = heapq.heappop(ready)
-        slots[s].append(slot)
-        if i + 1 < parts[s]:
-            heapq.heappush(waiting, ((i + 1) * period // parts[s], s, i + 1))
-    return slots
+    @property
+    def slots(self) -> dict[str, list[int]]:
+        """Slots of the phase for every source."""
+        names, found = list(self.parts), {s: [] for s in self.parts}
+        ends = [self.last_block[s] - self.first_block[s] for s in names]
+        for number in range(self.pieces):
+            planned = piece_slots(list(self.parts.values()), self.end - self.start, ends, self.piece, number)
+            for slot, s, _ in planned:
+                found[names[s]].append(slot)
+        return found
 
 
 def plan_phases(blocks: Mapping[str, int], weights: Mapping[str, float], period: int) -> list[Phase]:
-    """Phases until all blocks have a slot."""
-    phases, start, done = [], 0, dict.fromkeys(blocks, 0)
-    while left := {s: n - done[s] for s, n in blocks.items() if n > done[s]}:
-        target = {s: weights[s] for s in left if weights.get(s, 0) > 0} or left
-        width = max(period, 2 * len(target))
-        parts = whole_parts(target, width)
-        slots = earliest_deadline_first(parts, width)
-        last = {s: (left[s] - 1) // parts[s] * width + slots[s][(left[s] - 1) % parts[s]] for s in parts}
-        length = min(last.values()) + 1
-        phases.append(Phase(start, width, parts, {s: done[s] for s in parts}, slots, start + length))
-        whole, rest = divmod(length, width)
-        for s in parts:
-            done[s] += whole * parts[s] + sum(x < rest for x in slots[s])
+    """Phases until all blocks have a slot; pieces have at least ``period`` slots."""
+    phases, start, first = [], 0, dict.fromkeys(blocks, 0)
+    while left := {s: n - first[s] for s, n in sorted(blocks.items()) if n > first[s]}:
+        whole = whole_parts({s: weights[s] for s in left if weights.get(s, 0) > 0} or left)
+        names, parts = list(whole), list(whole.values())
+        total, warm = sum(parts), warm_up(parts)
+        # The phase ends with the last block of the source that is first to run out: simulate its tail.
+        near = min(left[s] * total // n for s, n in whole.items())
+        slot = max(0, near - 2 * warm - 2)
+        done = state_at(parts, slot)
+        for slot, s, i in earliest_deadline_first(parts, list(done), slot):
+            done[s] += 1
+            if i + 1 == left[names[s]]:
+                break
+        length = slot + 1
+        last = {s: first[s] + n for s, n in zip(names, done, strict=True)}
+        scale = -(-length // total)
+        scaled = {s: n * scale for s, n in whole.items()}
+        own = {s: first[s] for s in names}
+        phases.append(
+            Phase(start, total * scale, scaled, own, last, start + length, max(period, 4 * warm))
+        )
+        first.update(last)
         start += length
     return phases
 
 
+def slot_table(spark: SparkSession, phases: list[Phase]) -> DataFrame:
+    """A row per block: ``_s`` (source), ``_block``, ``_release``, ``_deadline`` and ``_slot``."""
+    kinds = "start long, length long, piece long, pieces long, names array<string>, parts array<string>"
+    rows = [
+        (p.start, p.end - p.start, p.piece, p.pieces, list(p.parts), [str(n) for n in p.parts.values()],
+         list(p.first_block.values()), list(p.last_block.values()))
+        for p in phases
+    ]
+    planned = spark.createDataFrame(rows, f"{kinds}, first array<long>, last array<long>")
+    tasks = min(max(1, sum(p.pieces for p in phases)), 4 * spark.sparkContext.defaultParallelism)
+    pieces = planned.withColumn("number", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    schema = pa.schema([("_s", pa.string())] + [
+        (n, pa.int64()) for n in ("_block", "_release", "_deadline", "_slot")
+    ])
+
+    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            parts, found = [int(n) for n in row["parts"]], []
+            total, begin = sum(parts), row["start"]
+            ends = [n - m for n, m in zip(row["last"], row["first"], strict=True)]
+            for slot, s, i in piece_slots(parts, row["length"], ends, row["piece"], row["number"]):
+                deadline = min(FARTHEST, begin - (-(i + 1) * total // parts[s]))
+                release = begin + i * total // parts[s]
+                found.append((row["names"][s], row["first"][s] + i, release, deadline, begin + slot))
+                if len(found) == SLOT_ROWS:
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*found))), schema=schema)
+                    found = []
+            if found:
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, zip(*found))), schema=schema)
+
+    return pieces.repartition(tasks).mapInArrow(
+        plan, "_s string, _block long, _release long, _deadline long, _slot long"
+    )
+
+
 def _source_key(source: str) -> Column:
     return F.when(F.col(source).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(source)))
 
@@ -140,34 +246,15 @@ def mix(
         names["row_in_block"]: F.pmod("_rank", F.lit(block_rows)).cast("int"),
     })
 
-    spans, places = [], []
-    for number, p in enumerate(phases):
-        following = {s: n for q in phases[number + 1 : number + 2] for s, n in q.first_block.items()}
-        for s, first in p.first_block.items():
-            spans.append((s, number, first, following.get(s, 1 << 62), p.parts[s], p.period, p.start))
-            places += [(s, number, j, slot) for j, slot in enumerate(p.slots[s])]
-    sent = lambda rows, kinds: (
-        F.broadcast(spark.createDataFrame(rows, kinds))
-        if len(rows) <= SENT_ROWS
-        else spark.createDataFrame(rows, kinds)
-    )
-    spans = sent(spans, "_s string, _phase int, _first long, _until long, _parts int, _period int, _start long")
-    places = sent(places, "_source string, _number int, _j int, _slot int")
-    block, nth = F.col(names["block"]), F.col(names["block"]) - F.col("_first")
-    in_span = (F.col(key) == F.col("_s")) & (F.col("_first") <= block) & (block < F.col("_until"))
-    placed = ranked.join(spans, in_span).withColumn("_nth", nth)
-    at_place = (
-        (F.col(key) == F.col("_source"))
-        & (F.col("_phase") == F.col("_number"))
-        & (F.pmod("_nth", "_parts") == F.col("_j"))
-    )
-    start = F.col("_start")
-    return placed.join(places, at_place).select(
+    # Written once, so that its size is known: a small table is sent to every task, a large one joined.
+    places = landed(slot_table(spark, phases), "slots")
+    at_place = (F.col(key) == F.col("_s")) & (F.col(names["block"]) == F.col("_block"))
+    return ranked.join(places, at_place).select(
         *docs.columns,
         names["block"],
-        (start + F.expr("(_nth * _period) div _parts")).alias(names["release"]),
-        (start + F.expr("((_nth + 1) * _period + _parts - 1) div _parts")).alias(names["deadline"]),
-        (start + F.expr("(_nth div _parts) * _period") + F.col("_slot")).alias(names["slot"]),
+        F.col("_release").alias(names["release"]),
+        F.col("_deadline").alias(names["deadline"]),
+        F.col("_slot").alias(names["slot"]),
         names["row_in_block"],
     )
 
