@@ -41,9 +41,15 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their places in sequences."""
+    """Pieces of all documents with their mixed ``position`` and their places in sequences.
+
+    Stored rows have no order. The mixed position is a function of the documents' ids and sources, so
+    it is taken again here, and sequences follow it.
+    """
     ship_package(spark)
-    return packing.digest(docs)
+    position = free_name(docs.columns, "position")
+    mixed = mixing.with_position(docs, position, evenness=EVENNESS)
+    return packing.digest_in_order(mixed, position)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

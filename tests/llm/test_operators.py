@@ -330,6 +330,41 @@ def test_mixture_pieces_join_without_seam():
                 assert all(abs(n - (x + 1) * share[s]) < 1 + 1e-9 for s, n in count.items())
 
 
+def test_pipeline_sequences_follow_the_target_weights(spark, tmp_path):
+    import corpus_pipeline
+
+    sizes = {"a": 8000, "b": 2000, "c": 500}
+    rows = [(s, i) for s, n in sizes.items() for i in range(n)]
+    words = [f"w{i}" for i in range(20)]
+    docs = [(k, " ".join(words[: 10 + k % 10]), "en", s) for k, (s, _) in enumerate(rows)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").repartition(7)
+    stages = dict(corpus_pipeline.STAGES)
+    mixed = stages["mixture"](spark, frame, None).repartition(5, F.xxhash64("doc_id"))  # order is lost
+    packed = stages["packing"](spark, mixed, None).join(frame.select("doc_id", "source"), "doc_id").collect()
+    assert len({r["doc_id"] for r in packed}) == len(docs)
+    share = {s: n**0.5 for s, n in sizes.items()}
+    share = {s: w / sum(share.values()) for s, w in share.items()}
+    sequences, at = {}, {}
+    for r in packed:
+        sequences.setdefault(r["sequence_id"], {}).setdefault(r["source"], []).append(r["length"])
+        at.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in at.values():
+        ends = [0, *[o + n for o, n in sorted(places)]]
+        assert [o for o, _ in sorted(places)] == ends[:-1] and ends[-1] <= 2048
+    assert sorted(sequences) == list(range(len(sequences)))
+    # The smallest share runs out last or first; before any source ends the targets hold.
+    until = min(sizes[s] / share[s] for s in sizes) * 0.8
+    spent, seen = dict.fromkeys(sizes, 0), 0
+    for k in sorted(sequences):
+        for s, lengths in sequences[k].items():
+            spent[s] += len(lengths)
+        seen = sum(spent.values())
+        if 1024 <= seen <= until and k + 1 in sequences:
+            window = seen
+            assert all(abs(spent[s] / window - share[s]) < 0.15 for s in sizes), (k, spent)
+    assert seen == len(docs)
+
+
 def test_url_lists_hold_for_their_intervals(spark):
     captures = spark.createDataFrame(
         [(1, "https://www.x.bad.com/a/?q", 5), (2, "https://x.bad.com/", 15), (3, None, 5), (4, "http://ok.org/p/", 9),

@@ -265,5 +265,12 @@ def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
     return mix(docs, **options).orderBy(slot, row).select(*docs.columns)
 
 
+def with_position(docs: DataFrame, name: str, block_rows: int = BLOCK_ROWS, **options) -> DataFrame:
+    """The documents with their mixed position; positions ascend with gaps after short blocks."""
+    slot, row = (free_name(docs.columns, n) for n in ("slot", "row_in_block"))
+    position = F.col(slot) * block_rows + F.col(row)
+    return mix(docs, block_rows=block_rows, **options).select(*docs.columns, position.alias(name))
+
+
 def digest(docs: DataFrame) -> DataFrame:
     return mix(docs.select("doc_id", "source"))

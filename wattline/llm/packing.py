@@ -6,6 +6,10 @@ for runs of equal sequences at a time. Pieces then take planned slots by joining
 their length; ranks are counted per length and hash bucket first, so a length that a third of all
 pieces have is no single group.
 
+Documents in a given order are packed by windows of consecutive positions, each with a plan of its own
+that a task makes; the sequences of a window come before those of the next, so that what the order
+promises holds for consecutive sequences. At most the last sequences of a window stay unfilled.
+
 Defined results: a null text is empty and is one piece of the end id; every row is a document of its
 own, also where an id is null or repeats; an empty table packs into nothing.
 """
@@ -25,39 +29,47 @@ from wattline.llm.shared import landed
 from wattline.llm.tokens import encoder, ids_crc32
 
 RANK_BUCKETS = 512
+#: Positions that are packed together where documents have an order.
+WINDOW_ROWS = 1024
 ROWS_AT_ONCE = 256
 
 
 def token_pieces(
-    docs: DataFrame, vocabulary: str, lower: bool, end_id: int, capacity: int
+    docs: DataFrame, vocabulary: str, lower: bool, end_id: int, capacity: int, position: str | None = None
 ) -> DataFrame:
     """Pieces of (doc_id, text) documents: doc_id, piece, start, length, ids_crc32 and ``ids``, the
-    packed little-endian ids (2 bytes each where the vocabulary fits, else 4)."""
+    packed little-endian ids (2 bytes each where the vocabulary fits, else 4). The column
+    ``position``, where it is named, is handed on under that name."""
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
+    if position:
+        schema += ", position long"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary, lower)
         kinds = pa.schema(
             [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64())]
             + [("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())]
+            + [("position", pa.int64())] * bool(position)
         )
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part, rows = batch.slice(at, ROWS_AT_ONCE), []
                 names = part.column("doc_id").to_pylist()
-                for name, ids in zip(
-                    names, encode.encode(part.column("text").to_pylist()), strict=True
+                carried = zip(part.column("position").to_pylist()) if position else [()] * len(names)
+                for name, ids, more in zip(
+                    names, encode.encode(part.column("text").to_pylist()), carried, strict=True
                 ):
                     ids = np.append(ids, encode.dtype.type(end_id))
                     for i, start in enumerate(range(0, len(ids), capacity)):
                         own = ids[start : start + capacity]
-                        rows.append((name, i, start, len(own), ids_crc32(own), own.tobytes()))
+                        rows.append((name, i, start, len(own), ids_crc32(own), own.tobytes(), *more))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, k.type) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)],
                     schema=kinds,
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
+    carried = [F.col(position).cast("long").alias("position")] if position else []
+    return docs.select("doc_id", "text", *carried).mapInArrow(cut, schema)
 
 
 def plan_slots(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
@@ -144,6 +156,42 @@ def pack(pieces: DataFrame, capacity: int, keys: tuple[str, ...] = ("doc_id", "p
     )
 
 
+def pack_in_order(pieces: DataFrame, capacity: int, window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """``pieces`` with a ``position`` and the ``sequence_id`` and ``offset`` of each, packed by windows
+    of positions. Within a window the pieces of a length take their places by position."""
+    spread = pieces.withColumn("_window", F.expr(f"position div {window_rows}"))
+
+    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = ("_number", "_length", "_from", "_to", "_first", "offset", "_size")
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            rows = plan_slots({c["length"]: c["count"] for c in row["counts"]}, capacity)
+            size = max(first + end - rank for _, rank, end, first, _ in rows)
+            columns = zip(*((row["_window"], *r, size) for r in rows), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=kinds)
+
+    counts = spread.groupBy("_window", "length").count()
+    each = counts.groupBy("_window").agg(F.collect_list(F.struct("length", "count")).alias("counts"))
+    kinds = "_number long, _length long, _from long, _to long, _first long, offset long, _size long"
+    slots = landed(each.mapInArrow(plan, kinds), "window-plans")
+    # A row per window: how many sequences the windows before it have.
+    before = Window.orderBy("_number").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = slots.select("_number", "_size").distinct()
+    bases = sizes.select("_number", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
+    within = Window.partitionBy("_window", "length").orderBy("position", "piece")
+    return (
+        spread.withColumn("_rank", F.row_number().over(within) - 1)
+        .join(
+            slots.join(bases, "_number"),
+            (F.col("_window") == F.col("_number"))
+            & (F.col("length") == F.col("_length"))
+            & (F.col("_from") <= F.col("_rank"))
+            & (F.col("_rank") < F.col("_to")),
+        )
+        .withColumn("sequence_id", F.col("_base") + F.col("_first") + F.col("_rank") - F.col("_from"))
+        .select(*pieces.columns, "sequence_id", "offset")
+    )
+
+
 def pack_documents(
     docs: DataFrame, vocabulary: str, lower: bool, end_id: int, capacity: int
 ) -> DataFrame:
@@ -158,3 +206,11 @@ def digest(docs: DataFrame) -> DataFrame:
 
     packed = pack_documents(docs, vocabulary_path("word_bpe_49k.json"), True, 0, 2048)
     return packed.drop("ids")
+
+
+def digest_in_order(docs: DataFrame, position: str) -> DataFrame:
+    """:func:`digest` of documents with a position, by windows of positions."""
+    from wattline.llm.tokens import vocabulary_path
+
+    pieces = token_pieces(docs, vocabulary_path("word_bpe_49k.json"), True, 0, 2048, position)
+    return pack_in_order(landed(pieces, "pieces"), 2048).drop("ids")
