@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wattline.llm import minhash, mixing, packing, quality
 from wattline.llm.shared import free_name, landed, ship_package
@@ -26,12 +27,16 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: that with the smallest id. Rows that repeat an id stay once."""
+    """One document of each group: that with the smallest id, and of its texts that with the least
+    digest. Rows that are equal in id and text stay once."""
     ship_package(spark)
-    found = minhash.near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id")
-    once = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
+    key = free_name(docs.columns, "text_key")
+    found = minhash.decisions(docs).filter("kept and doc_id is not null")
+    chosen = found.groupBy("doc_id", "root").agg(F.min("text_key").alias(key))
+    keyed = docs.filter("doc_id is not null").withColumn(key, minhash.text_key_of("text"))
+    once = keyed.join(chosen.select("doc_id", key).distinct(), ["doc_id", key], "left_semi")
     nameless = docs.filter("doc_id is null")
-    return once.join(found.distinct(), "doc_id", "left_semi").select(*docs.columns).union(nameless)
+    return once.dropDuplicates(["doc_id", key]).select(*docs.columns).union(nameless)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -365,6 +365,19 @@ def test_pipeline_sequences_follow_the_target_weights(spark, tmp_path):
     assert seen == len(docs)
 
 
+def test_pipeline_decides_repeated_ids_by_row(spark):
+    """The unique text of a repeated id stays, its copy of an earlier document goes, wherever they lie."""
+    import corpus_pipeline
+
+    copied, own, other = (" ".join(f"{c}{i}" for i in range(30)) for c in "xyz")
+    rows = [(1, copied), (7, copied), (7, own), (7, own), (7, own.upper()), (7, other), (8, None), (8, ""), (None, copied)]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").coalesce(1)
+        after = [(r["doc_id"], r["text"]) for r in corpus_pipeline.without_near_duplicates(spark, docs, None).collect()]
+        texts = sorted((i or 0, (t or "").lower()) for i, t in after)
+        assert texts == [(0, copied), (1, copied), (7, own), (7, other), (8, "")]
+
+
 def test_url_lists_hold_for_their_intervals(spark):
     captures = spark.createDataFrame(
         [(1, "https://www.x.bad.com/a/?q", 5), (2, "https://x.bad.com/", 15), (3, None, 5), (4, "http://ok.org/p/", 9),

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.llm.components import component_labels
@@ -143,15 +143,26 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
 
 
+def text_key(text: str | None) -> bytes:
+    """Tells texts apart; a null text is empty."""
+    return hashlib.sha1((text or "").encode(), usedforsecurity=False).digest()
+
+
+def text_key_of(text: str) -> Column:
+    """:func:`text_key` of a column."""
+    return F.unhex(F.sha1(F.coalesce(F.col(text), F.lit(""))))
+
+
 def describe(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_key (16 bytes, null for empty sets) and sketch of each document."""
+    """doc_id, n_shingles, set_key (16 bytes, null for empty sets), sketch and text_key (20 bytes) of
+    each document."""
 
     def rows(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                sizes, keys, sketches = [], [], []
-                for s in shingle_sets(part.column("text").to_pylist()):
+                sizes, keys, sketches, texts = [], [], [], part.column("text").to_pylist()
+                for s in shingle_sets(texts):
                     sizes.append(len(s))
                     keys.append(hashlib.blake2b(s, digest_size=16).digest() if len(s) else None)
                     sketches.append(sketch(s).tobytes() if len(s) else None)
@@ -161,12 +172,13 @@ def describe(docs: DataFrame) -> DataFrame:
                         pa.array(sizes, pa.int64()),
                         pa.array(keys, pa.binary()),
                         pa.array(sketches, pa.binary()),
+                        pa.array(map(text_key, texts), pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "set_key", "sketch"],
+                    names=["doc_id", "n_shingles", "set_key", "sketch", "text_key"],
                 )
 
     return docs.select("doc_id", "text").mapInArrow(
-        rows, "doc_id long, n_shingles long, set_key binary, sketch binary"
+        rows, "doc_id long, n_shingles long, set_key binary, sketch binary, text_key binary"
     )
 
 
@@ -341,6 +353,12 @@ def in_mixed_buckets(shared: DataFrame, roots: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per document (doc_id, text): doc_id, n_shingles, component_id and kept."""
+    return decisions(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def decisions(docs: DataFrame) -> DataFrame:
+    """:func:`near_duplicates` with ``text_key`` and ``root``, which names the group where ids repeat;
+    documents with empty sets are in no group."""
     described = landed(describe(docs), "sketches")
     classes = landed(
         described.filter("set_key is not null and doc_id is not null")
@@ -387,11 +405,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rooted = rooted.withColumn("root", F.coalesce("root", "set_key"))
     named = rooted.join(
         rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "root"
-    ).select("set_key", "component_id")
+    ).select("set_key", "component_id", "root")
     found = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return (
-        described.select("doc_id", "n_shingles", "set_key")
+        described.select("doc_id", "n_shingles", "set_key", "text_key")
         .join(named, "set_key", "left")
-        .select("doc_id", "n_shingles", found.alias("component_id"))
+        .select("doc_id", "n_shingles", found.alias("component_id"), "text_key", "root")
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
