@@ -399,6 +399,20 @@ def test_url_lists_hold_for_their_intervals(spark):
     assert urls.screen(captures.limit(0), entries, "url", "at").count() == 0
 
 
+def test_url_lists_keep_columns_of_clashing_names(spark):
+    names = ["id", "url", "at", "host", "KIND", "_page", "_active", "spans", "page", "found"]
+    captures = spark.createDataFrame(
+        [(1, "https://bad.com/a", 5, "h", "k", "p", "a", "s", "q", "f")],
+        ", ".join(f"{n} {'int' if n in ('id', 'at') else 'string'}" for n in names),
+    )
+    entries = spark.createDataFrame([("domain", "bad.com", "add", 3)], "kind string, pattern string, action string, dated int")
+    judged = urls.screen(captures, entries, "url", "at")
+    assert judged.columns == [*names, "_host", "active", "blocked", "_kind", "pattern", "listed_at"]
+    assert tuple(judged.first()) == (
+        1, "https://bad.com/a", 5, "h", "k", "p", "a", "s", "q", "f", "bad.com", 1, True, "domain", "bad.com", 3,
+    )
+
+
 def test_queries_equal_their_sql(spark, sf):
     from compare import connect, differences
 

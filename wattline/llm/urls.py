@@ -22,7 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from wattline.llm.shared import free_name
+
 KINDS = ("domain", "word", "url")
+ADDED = ("host", "active", "blocked", "kind", "pattern", "listed_at")
 
 
 def url_host(url: Column) -> Column:
@@ -67,10 +70,17 @@ def _gathered(hits: DataFrame, key: str) -> DataFrame:
 
 def screen(captures: DataFrame, entries: DataFrame, url: str, fetched_at: str) -> DataFrame:
     """Every capture with ``host``, ``active`` (how many entries were active for it), ``blocked``,
-    and the kind, pattern and start of the one listed first. Only the named columns of ``captures``
-    are read besides; all are returned, so its own columns must not have these names."""
+    and the kind, pattern and start of the one listed first. All columns of ``captures`` are returned;
+    added columns get a leading underscore where names clash."""
     spans = validity(entries)
-    seen = captures.withColumns({"host": url_host(F.col(url)), "_page": url_page(F.col(url))})
+    taken, names = list(captures.columns), {}
+    for n in (*ADDED, "page", "host_spans", "page_spans", "found"):
+        names[n] = free_name(taken, n)
+        taken.append(names[n])
+    host, page, host_spans, page_spans, found = (
+        names[n] for n in ("host", "page", "host_spans", "page_spans", "found")
+    )
+    seen = captures.withColumns({host: url_host(F.col(url)), page: url_page(F.col(url))})
 
     labels = F.split("host", r"\.")
     tails = F.transform(
@@ -82,33 +92,33 @@ def screen(captures: DataFrame, entries: DataFrame, url: str, fetched_at: str) -
         F.transform(tails, named("domain")),
         F.transform(F.array_distinct(F.split("host", r"[.\-]")), named("word")),
     )
-    hosts = seen.select("host").filter("host is not null").distinct()
+    hosts = seen.select(F.col(host).alias("host")).filter("host is not null").distinct()
     by_host = _gathered(
         hosts.select("host", F.inline(patterns)).join(spans, ["kind", "pattern"]), "host"
-    ).withColumnRenamed("spans", "_host_spans")
+    ).select(F.col("host").alias(host), F.col("spans").alias(host_spans))
     by_page = _gathered(
-        spans.filter("kind = 'url'").withColumn("_page", F.col("pattern")), "_page"
-    ).withColumnRenamed("spans", "_page_spans")
+        spans.filter("kind = 'url'").withColumn("page", F.col("pattern")), "page"
+    ).select(F.col("page").alias(page), F.col("spans").alias(page_spans))
 
-    nothing = F.array().cast(by_host.schema["_host_spans"].dataType)
+    nothing = F.array().cast(by_host.schema[host_spans].dataType)
     at = F.col(fetched_at)
     active = F.filter(
-        F.concat(F.coalesce("_host_spans", nothing), F.coalesce("_page_spans", nothing)),
+        F.concat(F.coalesce(host_spans, nothing), F.coalesce(page_spans, nothing)),
         lambda x: (x.since <= at) & (x.until.isNull() | (at < x.until)),
     )
-    first = F.array_min("_active")
+    first = F.array_min(found)
     return (
-        seen.withColumn("_page", F.lower("_page"))
-        .join(by_host, "host", "left")
-        .join(by_page, "_page", "left")
-        .withColumn("_active", active)
+        seen.withColumn(page, F.lower(page))
+        .join(by_host, host, "left")
+        .join(by_page, page, "left")
+        .withColumn(found, active)
         .select(
             *captures.columns,
-            "host",
-            F.size("_active").alias("active"),
-            (F.size("_active") > 0).alias("blocked"),
-            first.kind.alias("kind"),
-            first.pattern.alias("pattern"),
-            first.since.alias("listed_at"),
+            host,
+            F.size(found).alias(names["active"]),
+            (F.size(found) > 0).alias(names["blocked"]),
+            first.kind.alias(names["kind"]),
+            first.pattern.alias(names["pattern"]),
+            first.since.alias(names["listed_at"]),
         )
     )
