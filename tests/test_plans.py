@@ -167,3 +167,15 @@ def test_booking_job_prunes_large_tables_by_semi_join(spark, sf):
     inputs = booking_inputs(spark, sf)
     text = plan(jobs.booking_hours(*inputs, "1998-06-30"))
     assert text.count("LeftSemi") == 3
+
+
+def test_target_keeps_bookings_without_readings(spark, sf):
+    """A null device type holds the hours without readings; without any readings all bookings stay."""
+    readings = v.space_hourly(spark, sf, 9346)
+    created = F.lit("2024-02-01").cast("timestamp")
+    job = lambda rows: jobs.consumption_target(*booking_inputs(spark, sf), rows, "1998-06-30", created)
+    whole, none = job(readings).collect(), job(readings.limit(0)).collect()
+    bookings = {(r["order_id"], r["space_id"]) for r in none}
+    assert bookings and {(r["order_id"], r["space_id"]) for r in whole} == bookings
+    assert all(r["device_type"] is None and r["consumption"] is None and r["zone_device_id"] is None for r in none)
+    assert all(r["zone_device_code"] == f"dev-{r['zone_device_id']}" for r in whole if r["device_type"])

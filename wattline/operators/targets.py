@@ -10,6 +10,10 @@ from wattline.functions.timecols import day_starting
 from wattline.operators.bookings import Period, days_of, on_extension
 from wattline.operators.lookup import lookup_join
 
+#: What names the device of a reading.
+DEVICE = ["zone_device_id", "zone_device_control_id", "zone_device_code"]
+DAY_HOURS = 24
+
 
 def hours_with_readings(hours: DataFrame, readings: DataFrame) -> DataFrame:
     """Every booking hour with the hourly readings of its space, null where there are none."""
@@ -26,20 +30,39 @@ def day_sums(hours: DataFrame) -> DataFrame:
 
 
 def space_day_sums(readings: DataFrame) -> DataFrame:
-    """Sum of ``accumulate_value`` per space, business day and device type."""
+    """Sum of ``accumulate_value`` and the ids of the least device per space, business day and type."""
+    named = F.coalesce(*(F.col(c).cast("string") for c in DEVICE)).isNotNull()
     return readings.groupBy(
         "space_id", day_starting(F.col("date_time_key")).alias("date"), "device_type"
-    ).agg(F.sum(exact(F.col("accumulate_value"))).alias("accumulate_value"))
+    ).agg(
+        F.sum(exact(F.col("accumulate_value"))).alias("accumulate_value"),
+        F.min(F.when(named, F.struct(*DEVICE))).alias("device"),
+    )
+
+
+def days_with_gaps(days: DataFrame, readings: DataFrame) -> DataFrame:
+    """The booking days of which an hour, or every hour, has no reading."""
+    hours = readings.groupBy("space_id", day_starting(F.col("date_time_key")).alias("date")).agg(
+        F.count_distinct("date_time_key").alias("hours_read")
+    )
+    met = lookup_join(days, hours, ["space_id", "date"], max_bytes=0)
+    return met.filter(F.coalesce("hours_read", F.lit(0)) < DAY_HOURS).drop("hours_read")
 
 
 def booking_day_sums(days: DataFrame, readings: DataFrame) -> DataFrame:
-    """:func:`day_sums` of the hours of ``days`` that have readings, without making the hours.
+    """:func:`day_sums` of the hours of ``days``, without making the hours. Hours without readings
+    are a row per day with a null device type and amount.
 
     A booking day runs from 13:00 to 12:00, which is exactly the business day of that date, so the
     readings can be summed per space and day first: some 24 times fewer rows meet in the join.
     """
-    met = lookup_join(days, space_day_sums(readings), ["space_id", "date"], "inner", max_bytes=0)
-    return met.withColumnRenamed("date", "actual_date_key")
+    sums = space_day_sums(readings)
+    met = lookup_join(days, sums, ["space_id", "date"], "inner", max_bytes=0)
+    kinds = {f.name: f.dataType for f in sums.schema}
+    gaps = days_with_gaps(days, readings).withColumns(
+        {c: F.lit(None).cast(kinds[c]) for c in ("device_type", "accumulate_value", "device")}
+    )
+    return met.unionByName(gaps).withColumnRenamed("date", "actual_date_key")
 
 
 def period_sums(day_values: DataFrame) -> DataFrame:
@@ -57,7 +80,8 @@ def period_sums(day_values: DataFrame) -> DataFrame:
 def consumption_target(
     windows: DataFrame, readings: DataFrame, period: Period, created_at: Column
 ) -> DataFrame:
-    """Per booking, space and device type the consumption outside extension days.
+    """Per booking, space and device type the consumption outside extension days, and the ids of the
+    least device that was read. Hours without readings count under a null device type.
 
     ``on_rerent`` tells whether the booking is on extension on the last date of the window.
     """
@@ -68,9 +92,11 @@ def consumption_target(
         booking_day_sums(open_days, readings)
         .groupBy(*who, "device_type")
         .agg(
+            F.min("device").alias("device"),
             exact_sum(F.col("accumulate_value")).alias("consumption"),
-            F.count(F.lit(1)).alias("days"),
+            F.count_distinct("actual_date_key").alias("days"),
         )
+        .select(*who, "device_type", *(f"device.{c}" for c in DEVICE), "consumption", "days")
         .withColumnRenamed("on_rerent_now", "on_rerent")
         .withColumns({"date_key": period.last, "created_at": created_at})
     )

@@ -907,13 +907,20 @@ def q_booking_hours(spark, sf):
     return _hours(spark, sf)
 
 
-@query("q_consumption_target")
-def q_consumption_target(spark, sf):
+@query("q_consumption_target_whole")
+def q_consumption_target_whole(spark, sf):
     return jobs.consumption_target(
         *_booking_inputs(spark, sf), v.space_hourly(spark, sf, SHIFT_DAYS), BOOKING_AS_OF, _run_ts()
     )
 
 
+@query("q_consumption_target")
+def q_consumption_target(spark, sf):
+    """The part of the whole job that the given SQL states."""
+    whole = q_consumption_target_whole(spark, sf).filter("device_type is not null")
+    return whole.drop(*targets.DEVICE)
+
+
 @query("q_history_backfill")
 def q_history_backfill(spark, sf):
     folder = new_folder(spark, "history")

@@ -431,6 +431,18 @@ _BODIES = {
           ON m.order_id = now.order_id
         WHERE m.device_type IS NOT NULL AND NOT m.on_rerent
         GROUP BY m.order_id, m.order_number, m.user_name, m.room, m.space_id, m.device_type""",
+    "q_consumption_target_whole": """SELECT h.order_id, h.order_number, h.user_name, h.room, h.space_id,
+        max(now.on_rerent) AS on_rerent, r.device_type, min(r.zone_device_id) AS zone_device_id,
+        arg_min(r.zone_device_control_id, r.zone_device_id) AS zone_device_control_id,
+        'dev-' || min(r.zone_device_id)::VARCHAR AS zone_device_code,
+        CAST(sum(CAST(r.accumulate_value AS DECIMAL(18,2))) AS DOUBLE) AS consumption,
+        count(DISTINCT CAST(h.date AS DATE)) AS days, DATE '1998-06-29' AS date_key,
+        TIMESTAMP '2024-02-01 00:00:00' AS created_at
+        FROM hours h LEFT JOIN space_hourly r ON h.space_id = r.space_id AND h.date_time_key = r.date_time_key
+        JOIN (SELECT DISTINCT order_id, on_rerent FROM kept_days WHERE date = DATE '1998-06-29') now
+          ON h.order_id = now.order_id
+        WHERE NOT h.on_rerent
+        GROUP BY h.order_id, h.order_number, h.user_name, h.room, h.space_id, r.device_type""",
     "q_history_backfill": f"SELECT {TRIPLE}, ts, is_online, is_scenario, value FROM reads",
     "q_wide_export": "SELECT * FROM wide",
 }
