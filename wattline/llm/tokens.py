@@ -3,7 +3,8 @@
 A vocabulary first cuts a text into words by a public pattern and then finds the ids of each word by
 itself. Words recur, so the library gets each once per worker and its ids are kept by the hash of the
 word. Texts are cut in batches, as arrays. Texts with characters outside printable ASCII and Latin-1,
-whose classes differ between pattern engines, go to the library whole.
+whose classes differ between pattern engines, and texts that hold the string of an added token, go to
+the library whole.
 """
 
 from __future__ import annotations
@@ -86,14 +87,18 @@ def cut_words(data: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
 
 class WordEncoder:
     """Encodes texts to packed little-endian ids. ``lower``: the vocabulary drops case and white
-    space; otherwise it is a byte-level one that keeps both."""
+    space; otherwise it is a byte-level one that keeps both. ``plain_specials``: the strings of special
+    tokens within a text are text like any other; otherwise they are those tokens, which is what the
+    library does unless told."""
 
-    def __init__(self, path: str, lower: bool):
+    def __init__(self, path: str, lower: bool, plain_specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain_specials
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)", re.IGNORECASE)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.lower = lower
@@ -166,7 +171,7 @@ class WordEncoder:
         for part in batches([len(t) for t in texts]):
             known = []
             for i in range(part.start, part.stop):
-                if _KNOWN_CHARS.fullmatch(texts[i]):
+                if _KNOWN_CHARS.fullmatch(texts[i]) and not self.added.search(texts[i]):
                     known.append(i)
                 else:
                     out[i] = self._whole(texts[i])
@@ -177,9 +182,9 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, lower: bool) -> WordEncoder:
+def encoder(path: str, lower: bool, plain_specials: bool = False) -> WordEncoder:
     """The encoder of this worker."""
-    return WordEncoder(path, lower)
+    return WordEncoder(path, lower, plain_specials)
 
 
 def ids_crc32(ids: np.ndarray) -> int:

@@ -10,7 +10,7 @@ import numpy as np
 #: Bytes of text handled at once. A longer text makes a batch of its own.
 BATCH_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
+_TABLED = 64
 #: Stands between texts; texts that contain it must not be cut by it.
 GAP = 0
 
@@ -25,22 +25,33 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=1)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    def series(base: int) -> np.ndarray:
-        out = np.ones(size, np.uint64)
-        np.multiply.accumulate(np.full(size - 1, base, np.uint64), out=out[1:])
-        return out
+def _values() -> np.ndarray:
+    """A random number for every byte at each of the first ``_TABLED`` places of a word."""
+    return _value(np.arange(_TABLED * 256, dtype=np.uint64))
 
-    return series(_BASE), series(pow(_BASE, -1, 1 << 64))
+
+def _value(code: np.ndarray) -> np.ndarray:
+    return mixed(mixed(code + np.uint64(_BASE)) ^ np.uint64(0xD6E8FEB86659FD93))
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of the bytes of each span, the same wherever they stand."""
-    size = 1 << max(20, int(len(data)).bit_length())
-    power, inverse = _powers(size)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    """Hash of the bytes of each span, the same wherever they stand. Spans do not overlap.
+
+    A byte's number depends on its place in the span through a mixing function, not through powers of
+    a base, so that no family of words (such as Thue-Morse ones) collides by construction.
+    """
+    size = (ends - starts).astype(np.int64)
+    total = np.concatenate([[0], np.cumsum(size)])
+    place = np.arange(total[-1]) - np.repeat(total[:-1], size)
+    byte = data[place + np.repeat(starts.astype(np.int64), size)]
+    code = (place << 8) | byte
+    if len(size) and size.max() <= _TABLED:
+        value = _values()[code]
+    else:
+        value = np.where(place < _TABLED, _values()[np.minimum(code, _TABLED * 256 - 1)], _value(code.astype(np.uint64)))
+    sums = np.zeros(len(value) + 1, np.uint64)
+    np.cumsum(value, out=sums[1:])
+    return mixed(sums[total[1:]] - sums[total[:-1]] + size.astype(np.uint64) * np.uint64(_BASE))
 
 
 def batches(sizes: list[int]) -> Iterator[slice]:
