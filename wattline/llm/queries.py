@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.llm import (
+    alignment,
     minhash,
     mixing,
     neighbours,
     packing,
+    prefix_trie,
     quality,
+    repeats,
     sharding,
     token_files,
     topk,
@@ -162,6 +165,18 @@ def op10_hyperminhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_perfect_hash_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.digest(table(spark, sf_dir, "conversations"))
+
+
+def op12_end_offset_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_suffix_tree_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
@@ -175,6 +190,9 @@ LLM_QUERIES = {
         op8_pfair_mixture,
         op9_repair_token_files,
         op10_hyperminhash_duplicates,
+        op11_perfect_hash_prefix_trie,
+        op12_end_offset_alignment,
+        op13_suffix_tree_repeats,
     )
 }
 
@@ -193,4 +211,52 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-LLM_ORACLES = {"op3_block_pruned_topk": OP3_SQL, "op6_temporal_url_lists": OP6_SQL}
+# Checksums bit by bit, whole prefixes as text, and subtrees as all pairs of nodes.
+OP11_SQL = """
+WITH RECURSIVE ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+bits(conv_id, s, i, c) AS (
+  SELECT conv_id, conv_id::VARCHAR, 0, 4294967295::BIGINT FROM ids
+  UNION ALL
+  SELECT conv_id, s, i + 1, CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END
+  FROM (SELECT conv_id, s, i, CASE WHEN i % 8 = 0 THEN xor(c, ascii(substr(s, i // 8 + 1, 1))::BIGINT) ELSE c END AS x
+        FROM bits WHERE i < 8 * length(s))),
+heads AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, xor(c, 4294967295) % 9 AS h FROM bits WHERE i = 8 * length(s)),
+turns AS (
+  SELECT conv_id, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS name,
+         strlen(coalesce(text, '')) AS size,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n
+  FROM conversations WHERE conv_id IS NOT NULL),
+rebuilt AS (
+  SELECT conv_id, 0::BIGINT AS depth, NULL AS name, 0::BIGINT AS size FROM ids
+  UNION ALL
+  SELECT h.conv_id, t.n, t.name, t.size FROM heads h JOIN turns t ON t.conv_id = h.base AND t.n <= h.h
+  UNION ALL
+  SELECT t.conv_id, t.n - h.h + least(h.h, (SELECT count(*) FROM turns b WHERE b.conv_id = h.base)), t.name, t.size
+  FROM heads h JOIN turns t ON t.conv_id = h.conv_id AND t.n > h.h),
+prefixes AS (
+  SELECT conv_id, depth, size, coalesce(string_agg(name, ',') OVER (PARTITION BY conv_id ORDER BY depth), '') AS prefix,
+         lead(depth) OVER (PARTITION BY conv_id ORDER BY depth) IS NULL AS ends
+  FROM rebuilt),
+steps AS (
+  SELECT *, lag(prefix) OVER (PARTITION BY conv_id ORDER BY depth) AS parent FROM prefixes),
+nodes AS (
+  SELECT depth, prefix, min(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, min(size) AS size,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ids
+  FROM steps GROUP BY depth, prefix),
+children AS (SELECT parent AS prefix, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY parent),
+counted AS (SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children USING (prefix)),
+sums AS (
+  SELECT a.prefix, count(*) FILTER (WHERE b.n_children = 0) AS n_leaves, sum((b.n_convs - 1) * b.size)::BIGINT AS saved
+  FROM counted a JOIN counted b ON a.depth = 0 OR b.prefix = a.prefix OR starts_with(b.prefix, a.prefix || ',')
+  GROUP BY a.prefix)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, s.n_leaves,
+       s.saved AS saved_tokens, sha256(c.ids) AS ends_sha256
+FROM counted c JOIN sums s USING (prefix) LEFT JOIN counted p ON c.depth > 0 AND p.prefix = c.parent
+"""
+
+LLM_ORACLES = {
+    "op3_block_pruned_topk": OP3_SQL,
+    "op6_temporal_url_lists": OP6_SQL,
+    "op11_perfect_hash_prefix_trie": OP11_SQL,
+}
