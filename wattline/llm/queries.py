@@ -255,8 +255,30 @@ SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children,
 FROM counted c JOIN sums s USING (prefix) LEFT JOIN counted p ON c.depth > 0 AND p.prefix = c.parent
 """
 
+# Every window as text, numbered in order of its places.
+OP13_SQL = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+places AS (SELECT doc_id, words, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split),
+windows AS (
+  SELECT doc_id, word, i, CASE WHEN i + 19 <= len(words) THEN md5(array_to_string(words[i:i + 19], ' ')) END AS name
+  FROM places),
+later AS (
+  SELECT *, name IS NOT NULL AND row_number() OVER (PARTITION BY name ORDER BY doc_id, i) > 1 AS again FROM windows),
+covered AS (
+  SELECT *, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+  FROM later),
+sums AS (
+  SELECT doc_id, count(*) FILTER (WHERE gone) AS n,
+         string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM covered GROUP BY doc_id)
+SELECT s.doc_id, len(s.words)::BIGINT AS n_words, coalesce(sums.n, 0)::BIGINT AS n_removed,
+       sha256(coalesce(sums.kept, '')) AS kept_sha256
+FROM split s LEFT JOIN sums USING (doc_id)
+"""
+
 LLM_ORACLES = {
     "op3_block_pruned_topk": OP3_SQL,
     "op6_temporal_url_lists": OP6_SQL,
     "op11_perfect_hash_prefix_trie": OP11_SQL,
+    "op13_suffix_tree_repeats": OP13_SQL,
 }
