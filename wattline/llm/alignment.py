@@ -42,8 +42,18 @@ TEXTS_AT_ONCE = 256
 B_BITS = 24
 
 
-def _table(entries: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    return entries, np.fromiter(map(len, entries), np.int64, len(entries))
+class Entries:
+    """The bytes of every id of a vocabulary, as arrays."""
+
+    def __init__(self, entries: list[bytes]):
+        self.sizes = np.fromiter(map(len, entries), np.int64, len(entries))
+        self.begin = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(entries), np.uint8)
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        size = self.sizes[ids]
+        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        return self.flat[place + np.repeat(self.begin[ids], size)].tobytes()
 
 
 class ByteLevel:
@@ -57,8 +67,9 @@ class ByteLevel:
         byte = {chr(b): b for b in seen} | {chr(256 + i): b for i, b in enumerate(rest)}
         entries = {i: t for t, i in self.encoder.tokenizer.get_vocab(with_added_tokens=False).items()}
         size = self.encoder.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.bytes, self.sizes = _table(
-            [bytes(byte[c] for c in entries[i]) if i in entries and all(c in byte for c in entries[i]) else b"" for i in range(size)]
+        known = lambda t: all(c in byte for c in t)
+        self.entries = Entries(
+            [bytes(byte[c] for c in entries[i]) if i in entries and known(entries[i]) else b"" for i in range(size)]
         )
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -78,7 +89,7 @@ class Pieces:
             entries.append(
                 bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode()
             )
-        self.bytes, self.sizes = _table(entries)
+        self.entries = Entries(entries)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x, np.int64) for x in self.model.encode(texts, num_threads=1)]
@@ -95,11 +106,12 @@ def side_b(path: str) -> Pieces:
 
 
 def slices(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
-    """Where the groups of each side end, as indices after their last token."""
-    at_a = {end: i for i, end in enumerate(ends_a, 1)}
-    at_b = {end: i for i, end in enumerate(ends_b, 1)}
-    common = sorted(at_a.keys() & at_b.keys())
-    return [at_a[c] for c in common], [at_b[c] for c in common]
+    """Where the groups of each side end, as indices after their last token. Ends ascend, so the common
+    keys come out sorted."""
+    at_a = dict(zip(ends_a, range(1, len(ends_a) + 1), strict=True))
+    at_b = dict(zip(ends_b, range(1, len(ends_b) + 1), strict=True))
+    common = list(filter(at_b.__contains__, at_a))
+    return list(map(at_a.__getitem__, common)), list(map(at_b.__getitem__, common))
 
 
 def links_of(sizes_a: np.ndarray, sizes_b: np.ndarray, stop_a: np.ndarray, stop_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,27 +130,33 @@ def links_of(sizes_a: np.ndarray, sizes_b: np.ndarray, stop_a: np.ndarray, stop_
     return left, np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
 
 
-def groups_text(a: np.ndarray, b: np.ndarray, stop_a: list[int], stop_b: list[int]) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of both sides, group after group."""
-    left, right = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    out, i, j = [], 0, 0
-    for x, y in zip(stop_a, stop_b, strict=True):
-        own = left[i] if x == i + 1 else ",".join(left[i:x])
-        out.append(f"{own}|{right[j]}" if y == j + 1 else f"{own}|{','.join(right[j:y])}")
-        i, j = x, y
-    return ";".join(out)
+@lru_cache(maxsize=1)
+def _decimals(size: int) -> list[str]:
+    """Every id with each of the marks that may follow it."""
+    return [f"{i}{mark}" for mark in ",|;" for i in range(size)]
+
+
+def groups_text(a: np.ndarray, b: np.ndarray, stop_a: np.ndarray, stop_b: np.ndarray, size: int) -> str:
+    """``a1,a2|b1;a3|b2,b3``: the ids of both sides, group after group; ids are below ``size``."""
+    count_a, count_b = np.diff(stop_a, prepend=0), np.diff(stop_b, prepend=0)
+    codes = np.empty(len(a) + len(b), np.int64)
+    # A group's ids of A come after the ids of B of the groups before it; those of B follow them.
+    codes[np.arange(len(a)) + np.repeat(stop_b - count_b, count_a)] = a
+    codes[np.arange(len(b)) + np.repeat(stop_a, count_b)] = b
+    codes[stop_a - 1 + stop_b - count_b] += size
+    codes[stop_a + stop_b - 1] += 2 * size
+    return "".join(map(_decimals(size).__getitem__, codes.tolist()))[:-1]
 
 
 def align(text: str, a: np.ndarray, b: np.ndarray, one: ByteLevel, other: Pieces):
     """Group stops and linked places of both sides; None where a side does not give the text back."""
     whole = b" " + text.encode()
-    if b"".join(map(one.bytes.__getitem__, a.tolist())) != whole:
-        return None
-    if b"".join(map(other.bytes.__getitem__, b.tolist())) != whole:
+    if one.entries.joined(a) != whole or other.entries.joined(b) != whole:
         return None
-    sizes_a, sizes_b = one.sizes[a], other.sizes[b]
-    stop_a, stop_b = slices(np.cumsum(sizes_a).tolist(), np.cumsum(sizes_b).tolist())
-    return stop_a, stop_b, links_of(sizes_a, sizes_b, np.array(stop_a), np.array(stop_b))
+    sizes_a, sizes_b = one.entries.sizes[a], other.entries.sizes[b]
+    stops = slices(np.cumsum(sizes_a).tolist(), np.cumsum(sizes_b).tolist())
+    stop_a, stop_b = map(np.array, stops)
+    return stop_a, stop_b, links_of(sizes_a, sizes_b, stop_a, stop_b)
 
 
 _ALIGNED = (
@@ -153,6 +171,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     def rows(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, other = side_a(path_a), side_b(path_b)
+        size = max(len(one.entries.sizes), len(other.entries.sizes))
         for batch in found:
             for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 part = batch.slice(at, TEXTS_AT_ONCE)
@@ -170,7 +189,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                     linked = a.astype(np.int64)[left] << B_BITS | b[right]
                     own, n = np.unique(linked, return_counts=True)
                     numbers.append((len(a), len(b), len(stop_a), len(linked)))
-                    names.append(hashlib.sha256(groups_text(a, b, stop_a, stop_b).encode()).hexdigest())
+                    names.append(hashlib.sha256(groups_text(a, b, stop_a, stop_b, size).encode()).hexdigest())
                     pairs.append(own)
                     times.append(n.astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
