@@ -46,8 +46,8 @@ from wattline.llm.words import batches, joined, mixed, span_hashes
 WINDOW = 20
 #: Words of the shortest prefix, and suffixes that compete for a window; together at most WINDOW + 1.
 PREFIX, SPAN = 9, 12
-#: Anchored suffixes in a group that one task turns into a tree (some 6 MB of words).
-GROUP_ROWS = 32_768
+#: Anchored suffixes in a group that becomes a tree at once (some 2 MB of words).
+GROUP_ROWS = 8_192
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -92,11 +92,12 @@ def _anchored(texts: list[str | None]) -> Iterator[tuple]:
         prefixes = prefix_hashes(span_hashes(data, starts, ends))
         lines = data.copy()
         lines[ends] = 10
+        line = lines.tobytes()
         for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
             if b - a >= WINDOW:
                 own = prefixes[a : b - PREFIX + 1]
                 place, first, last = anchors_of(own, b - a - WINDOW + 1)
-                yield part.start + i, lines, starts[a:b], ends[a:b], own[place].view(np.int64), place, first, last
+                yield part.start + i, line, starts[a:b], ends[a:b], own[place].view(np.int64), place, first, last
 
 
 def key_of(docs: DataFrame) -> list[Column]:
@@ -147,33 +148,37 @@ def shared_suffixes(rows: DataFrame, shared: DataFrame) -> DataFrame:
     which for one document is never more than its words.
     """
     kept = anchored_prefixes(rows).join(shared, "prefix")
-    own = kept.groupBy(*KEY).agg(F.collect_set(F.struct("place", "uses")).alias("kept"))
+    chosen = F.sort_array(F.collect_set(F.struct("place", "uses")))
+    own = kept.groupBy(*KEY).agg(chosen.alias("kept"))
 
     def cut(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
-            wanted = batch.column("kept").to_pylist()
-            out: list[tuple] = []
-            number: list[int] = []
-            for i, lines, starts, ends, prefix, place, first, last in _anchored(batch.column("text").to_pylist()):
-                uses = {k["place"]: k["uses"] for k in wanted[i]}
-                for k in np.flatnonzero(np.isin(place, list(uses))).tolist():
-                    a, n = int(first[k]), int(last[k] - first[k]) + 1
-                    b = a + n + WINDOW - 2
-                    own = lines[starts[a] : ends[b]].tobytes()
-                    if (starts[a + 1 : b + 1] - ends[a:b] > 1).any():  # more white space between words
-                        spans = zip(starts[a : b + 1].tolist(), ends[a : b + 1].tolist(), strict=True)
-                        own = b"\n".join(lines[x:y].tobytes() for x, y in spans)
-                    out.append((int(prefix[k]), uses[int(place[k])], int(place[k]), a, n, own))
-                    number.append(i)
-            if out:
-                at = pa.array(number, pa.int64())
-                prefixes, uses, places, firsts, counts, words = zip(*out, strict=True)
+            wanted = batch.column("kept")
+            edge = wanted.offsets.to_numpy()
+            wanted_place, wanted_uses = (wanted.values.field(c).to_numpy() for c in ("place", "uses"))
+            number, numbers, words = [], [], []
+            for i, line, starts, ends, prefix, place, first, last in _anchored(batch.column("text").to_pylist()):
+                at = wanted_place[edge[i] : edge[i + 1]]
+                k = np.searchsorted(place, at)
+                a, n = first[k], last[k] - first[k] + 1
+                b = a + n + WINDOW - 2
+                own = [line[x:y] for x, y in zip(starts[a].tolist(), ends[b].tolist(), strict=True)]
+                wide = np.concatenate([[0], np.cumsum(starts[1:] - ends[:-1] > 1)])
+                for j in np.flatnonzero(wide[b] > wide[a]).tolist():  # more white space between words
+                    spans = zip(starts[a[j] : b[j] + 1].tolist(), ends[a[j] : b[j] + 1].tolist(), strict=True)
+                    own[j] = b"\n".join(line[x:y] for x, y in spans)
+                number.append(np.full(len(k), i))
+                numbers.append((prefix[k], wanted_uses[edge[i] : edge[i + 1]], at, a, n))
+                words += own
+            if number:
+                at = pa.array(np.concatenate(number))
+                columns = [pa.array(np.concatenate(c)) for c in zip(*numbers, strict=True)]
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+                prefixes, uses, *rest = (c.cast(k) for c, k in zip(columns, kinds, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(prefixes, pa.int64()), pa.array(uses, pa.int64()),
-                     *(batch.column(c).take(at) for c in KEY), pa.array(places, pa.int32()),
-                     pa.array(firsts, pa.int32()), pa.array(counts, pa.int32()), pa.array(words, pa.binary())],
+                    [prefixes, uses, *(batch.column(c).take(at) for c in KEY), *rest, pa.array(words, pa.binary())],
                     names=["prefix", "uses", *KEY, "place", "first", "windows", "words"],
-                )
+                )
 
     return rows.join(own, KEY).select(*KEY, "text", "kept").mapInArrow(cut, _SUFFIXES)
 
