@@ -53,6 +53,11 @@ class Period:
         return range(self.days // _BITS + 1)
 
 
+def bits_per_word() -> int:
+    """Dates that one bitmap word holds."""
+    return _BITS
+
+
 def _midnight(df: DataFrame, column: str, day: Column) -> Column:
     """Start of a day in the type of a column, so that a comparison with it reaches the scan."""
     return day.cast(df.schema[column].dataType)

@@ -65,13 +65,32 @@ def daily_consumption(
     ``value`` is a running meter total. Hourly tables hold one record per device and hour, hence
     ``unique_times``; pass False for raw readings.
     """
-    ends = first_and_last(
+    return consumption_of(daily_ends(hourly, time, cut_hour, unique_times), time)
+
+
+def daily_ends(
+    hourly: DataFrame, time: str = "date_time_key", cut_hour: int = 11, unique_times: bool = True
+) -> DataFrame:
+    """The ``first`` and ``last`` record of every device and business day."""
+    return first_and_last(
         hourly.withColumn("date_key", day_ending(F.col(time), cut_hour)),
         ["date_key", *TRIPLE],
         time,
         ["value", *FLAGS],
         unique_times,
     )
+
+
+def merged_ends(parts: DataFrame) -> DataFrame:
+    """:func:`daily_ends` of several loads as those of all their readings. Any order and any grouping of
+    the loads gives the same rows, and a load that comes twice changes nothing."""
+    keys = ["date_key", *TRIPLE]
+    ends = group_records(parts, keys).agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return ends.select(*keys, "first", "last")
+
+
+def consumption_of(ends: DataFrame, time: str = "date_time_key") -> DataFrame:
+    """Per device and business day last minus first value, and the last value with its flags."""
     return ends.select(
         *TRIPLE,
         exact_difference(F.col("last.value"), F.col("first.value")).alias("consumption"),
@@ -146,3 +165,16 @@ def latest_by_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
         .agg(F.max(F.struct(order, *rest)).alias("last"))
         .select(*keys, *(f"last.{c}" for c in rest), f"last.{order}")
     )
+
+
+def map_sums(df: DataFrame, keys: list[str], column: str) -> DataFrame:
+    """Per group one map: the values of equal map keys, added over all its rows.
+
+    Entries are summed per group and map key with map-side combine, and the map is built from sums. So
+    what a group costs is its different map keys, not its rows. Null maps and empty ones add nothing; a
+    group of only such maps has an empty map; null values count as absent.
+    """
+    entries = df.select(*keys, F.explode_outer(column).alias("_name", "_amount"))
+    sums = entries.groupBy(*keys, "_name").agg(F.sum("_amount").alias("_amount"))
+    pair = F.when(F.col("_name").isNotNull(), F.struct("_name", "_amount"))
+    return sums.groupBy(*keys).agg(F.map_from_entries(F.collect_list(pair)).alias(column))

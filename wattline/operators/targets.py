@@ -29,24 +29,20 @@ def day_sums(hours: DataFrame) -> DataFrame:
     )
 
 
-def space_day_sums(readings: DataFrame) -> DataFrame:
-    """Sum of ``accumulate_value`` and the ids of the least device per space, business day and type."""
+def space_days(readings: DataFrame) -> DataFrame:
+    """Per space and business day: the hours read as bits, and per device type the sum of
+    ``accumulate_value`` and the ids of the least device, as an array ``read``."""
     named = F.coalesce(*(F.col(c).cast("string") for c in DEVICE)).isNotNull()
-    return readings.groupBy(
+    hour = F.call_function("shiftleft", F.lit(1), F.hour("date_time_key"))
+    sums = readings.groupBy(
         "space_id", day_starting(F.col("date_time_key")).alias("date"), "device_type"
     ).agg(
         F.sum(exact(F.col("accumulate_value"))).alias("accumulate_value"),
         F.min(F.when(named, F.struct(*DEVICE))).alias("device"),
+        F.bit_or(hour).alias("hours"),
     )
-
-
-def days_with_gaps(days: DataFrame, readings: DataFrame) -> DataFrame:
-    """The booking days of which an hour, or every hour, has no reading."""
-    hours = readings.groupBy("space_id", day_starting(F.col("date_time_key")).alias("date")).agg(
-        F.count_distinct("date_time_key").alias("hours_read")
-    )
-    met = lookup_join(days, hours, ["space_id", "date"], max_bytes=0)
-    return met.filter(F.coalesce("hours_read", F.lit(0)) < DAY_HOURS).drop("hours_read")
+    read = F.collect_list(F.struct("device_type", "accumulate_value", "device"))
+    return sums.groupBy("space_id", "date").agg(read.alias("read"), F.bit_or("hours").alias("hours"))
 
 
 def booking_day_sums(days: DataFrame, readings: DataFrame) -> DataFrame:
@@ -54,15 +50,15 @@ def booking_day_sums(days: DataFrame, readings: DataFrame) -> DataFrame:
     are a row per day with a null device type and amount.
 
     A booking day runs from 13:00 to 12:00, which is exactly the business day of that date, so the
-    readings can be summed per space and day first: some 24 times fewer rows meet in the join.
+    readings can be summed per space and day first: some 24 times fewer rows meet in the one join.
     """
-    sums = space_day_sums(readings)
-    met = lookup_join(days, sums, ["space_id", "date"], "inner", max_bytes=0)
-    kinds = {f.name: f.dataType for f in sums.schema}
-    gaps = days_with_gaps(days, readings).withColumns(
-        {c: F.lit(None).cast(kinds[c]) for c in ("device_type", "accumulate_value", "device")}
-    )
-    return met.unionByName(gaps).withColumnRenamed("date", "actual_date_key")
+    met = lookup_join(days, space_days(readings), ["space_id", "date"], max_bytes=0)
+    kind = met.schema["read"].dataType
+    gap = F.array(F.struct(*(F.lit(None).cast(f.dataType).alias(f.name) for f in kind.elementType)))
+    missing = F.bit_count(F.coalesce("hours", F.lit(0))) < DAY_HOURS
+    none = F.slice(gap, 1, 0)
+    rows = F.concat(F.coalesce("read", none), F.when(missing, gap).otherwise(none))
+    return met.select(*days.columns, F.inline(rows)).withColumnRenamed("date", "actual_date_key")
 
 
 def period_sums(day_values: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from wattline.functions import scalars as sc
 from wattline.functions import timecols as tc
 from wattline.operators import bookings as bk
 from wattline.operators import enrich, gapfill, history, reduce, targets
+from wattline.operators.lookup import settle
 from wattline.plans import jobs
 from wattline.schemas import READING, TRIPLE
 from wattline.sources import readers, sample_views as v, writers
@@ -185,6 +186,21 @@ def sink_append(spark, sf):
     )
 
 
+@query("sink_expiry")
+def sink_expiry(spark, sf):
+    """Rows per date before and after the old dates have been removed, twice."""
+    folder = new_folder(spark, "expiring")
+    rows = v.numeric_readings(spark, sf).withColumn("date_key", F.to_date("ts"))
+    writers.append(rows, folder, partition_by=["date_key"])
+    count = lambda phase: readers.scan(spark, path=folder).groupBy("date_key").agg(
+        F.count(F.lit(1)).alias("rows")
+    ).withColumn("phase", F.lit(phase))
+    before = settle(count("before"))
+    for _ in range(2):
+        writers.expire_partitions(spark, folder, "2024-05-10 00:00:00")
+    return before.unionByName(count("after"))
+
+
 @query("upsert_latest")
 def upsert_latest(spark, sf):
     folder = new_folder(spark, "hourly")
@@ -432,6 +448,26 @@ def target_period_sum(spark, sf):
     return targets.period_sums(targets.day_sums(met))
 
 
+@query("target_period_totals")
+def target_period_totals(spark, sf):
+    return jobs.consumption_from_totals(
+        *_booking_inputs(spark, sf), v.space_hourly(spark, sf, SHIFT_DAYS), BOOKING_AS_OF
+    )
+
+
+@query("daily_consumption_loads")
+def daily_consumption_loads(spark, sf):
+    """Three loads, the middle one of them last, and one again."""
+    folder = new_folder(spark, "daily-ends")
+    hourly = v.meter_hourly(spark, sf)
+    at = F.col("date_time_key")
+    early, late = (F.lit(x).cast("timestamp_ntz") for x in ("2024-01-10 07:00:00", "2024-01-20 15:00:00"))
+    loads = [hourly.filter(at < early), hourly.filter(at >= late), hourly.filter((at >= early) & (at < late))]
+    for load in (*loads, loads[0]):
+        jobs.load_daily(spark, load, folder)
+    return reduce.consumption_of(readers.scan(spark, path=folder))
+
+
 @query("table_count")
 def table_count(spark, sf):
     names = ["events", "orders", "lineitem", "customer"]
@@ -450,6 +486,17 @@ def map_merge_sum(spark, sf):
     return merged.select("event_id", F.explode("m").alias("name", "amount"))
 
 
+@query("map_group_sum")
+def map_group_sum(spark, sf):
+    """Event counts and amounts per device, first as a map per event."""
+    events = v.table(spark, sf, "events")
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    maps = events.select(
+        "user_id", F.create_map(F.col("event_type"), F.lit(1).cast("bigint"), F.lit("cents"), cents).alias("m")
+    )
+    return reduce.map_sums(maps, ["user_id"], "m").select("user_id", F.explode("m").alias("name", "amount"))
+
+
 # -- windows and gap fill -----------------------------------------------------------------------
 
 
@@ -907,20 +954,13 @@ def q_booking_hours(spark, sf):
     return _hours(spark, sf)
 
 
-@query("q_consumption_target_whole")
-def q_consumption_target_whole(spark, sf):
+@query("q_consumption_target")
+def q_consumption_target(spark, sf):
     return jobs.consumption_target(
         *_booking_inputs(spark, sf), v.space_hourly(spark, sf, SHIFT_DAYS), BOOKING_AS_OF, _run_ts()
     )
 
 
-@query("q_consumption_target")
-def q_consumption_target(spark, sf):
-    """The part of the whole job that the given SQL states."""
-    whole = q_consumption_target_whole(spark, sf).filter("device_type is not null")
-    return whole.drop(*targets.DEVICE)
-
-
 @query("q_history_backfill")
 def q_history_backfill(spark, sf):
     folder = new_folder(spark, "history")

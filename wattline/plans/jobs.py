@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from wattline.functions.timecols import cut_of, day_range
 from wattline.operators import bookings as bk
-from wattline.operators import enrich, gapfill, history, reduce, targets
+from wattline.operators import enrich, gapfill, history, reduce, targets, totals
 from wattline.operators.lookup import lookup_join
 from wattline.schemas import LAST_KNOWN, READING, TRIPLE
 from wattline.sources.readers import since, stored_or_empty, time_range
-from wattline.sources.writers import replace_partitions, upsert
+from wattline.sources.writers import merge_partitions, replace_partitions, upsert
 
 
 def ingest(
@@ -183,15 +183,48 @@ def consumption_target(
     windows = bk.booked_windows(
         bookings, history, extensions, users, spaces, period, order_id, repeat_start
     )
-    midnight = F.lit(as_of).cast("timestamp")
-    bounds = cut_of(midnight, 12, -period.days - 1), cut_of(midnight, 13)
-    in_window = time_range(readings, "date_time_key", *bounds, date_column)
+    in_window = window_readings(readings, period, date_column)
     return targets.consumption_target(windows, in_window, period, created_at)
 
 
+def window_readings(readings: DataFrame, period: bk.Period, date_column: str | None = None) -> DataFrame:
+    """The readings of the business days of a reporting window, as one scan range."""
+    midnight = F.lit(period.as_of).cast("timestamp")
+    bounds = cut_of(midnight, 12, -period.days - 1), cut_of(midnight, 13)
+    return time_range(readings, "date_time_key", *bounds, date_column)
+
+
+def consumption_from_totals(
+    bookings: DataFrame,
+    history: DataFrame,
+    extensions: DataFrame,
+    users: DataFrame,
+    spaces: DataFrame,
+    readings: DataFrame,
+    as_of: str,
+    order_id: int | None = None,
+    date_column: str | None = None,
+) -> DataFrame:
+    """Consumption and days per booking and device type, by differences of running totals."""
+    period = bk.Period(as_of)
+    windows = bk.booked_windows(bookings, history, extensions, users, spaces, period, order_id)
+    return totals.period_sums_from_totals(windows, window_readings(readings, period, date_column), period)
+
+
 def history_backfill(responses: DataFrame, column: str = "value") -> DataFrame:
     return history.history_reads(responses, column)
 
 
 def wide_day_export(wide: DataFrame, device_type: str, day: Any) -> DataFrame:
     return history.wide_export(wide, device_type, F.lit(day).cast("date"))
+
+
+def load_daily(
+    spark: SparkSession, readings: DataFrame, path: str, time: str = "date_time_key", unique_times: bool = True
+) -> None:
+    """One load of hourly readings into the stored first and last records per device and business day.
+
+    Loads may come in any order and more than once; only the days that a load touches are read and
+    replaced.
+    """
+    merge_partitions(spark, reduce.daily_ends(readings, time, unique_times=unique_times), path, reduce.merged_ends)

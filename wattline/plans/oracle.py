@@ -294,11 +294,20 @@ _BODIES = {
     "target_period_sum": """SELECT order_id, device_type,
         CAST(sum(CAST(accumulate_value AS DECIMAL(18,2))) AS DOUBLE) AS consumption, count(DISTINCT actual_date_key) AS days
         FROM target_days WHERE NOT on_rerent GROUP BY order_id, device_type""",
+    "target_period_totals": """SELECT order_id, device_type,
+        CAST(sum(CAST(accumulate_value AS DECIMAL(18,2))) AS DOUBLE) AS consumption, count(DISTINCT actual_date_key) AS days
+        FROM target_days WHERE NOT on_rerent GROUP BY order_id, device_type""",
+    "daily_consumption_loads": "SELECT * FROM daily",
     "table_count": """SELECT 'events' AS name, count(*) AS rows FROM events UNION ALL SELECT 'orders', count(*) FROM orders
         UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'customer', count(*) FROM customer""",
     "map_merge_sum": """SELECT event_id, name, CAST(sum(n) AS INTEGER) AS amount FROM (
           SELECT event_id, event_type AS name, 1 AS n FROM events UNION ALL SELECT event_id, 'all', 3 FROM events
           UNION ALL SELECT event_id, 'error', 3 FROM events) GROUP BY event_id, name""",
+    "map_group_sum": """SELECT user_id, event_type AS name, count(*)::BIGINT AS amount FROM events GROUP BY ALL
+        UNION ALL SELECT user_id, 'cents', sum(round(value * 100))::BIGINT FROM events GROUP BY user_id""",
+    "sink_expiry": """SELECT CAST(ts AS DATE) AS date_key, count(*) AS rows, 'before' AS phase FROM events GROUP BY ALL
+        UNION ALL SELECT CAST(ts AS DATE), count(*), 'after' FROM events
+        WHERE CAST(ts AS DATE) >= CAST(TIMESTAMP '2024-05-10' - INTERVAL '10000000' SECOND AS DATE) GROUP BY ALL""",
     "next_reading_lead": f"""SELECT * FROM (
         SELECT *, CAST(date_sub('hour', ts, next_time) AS INTEGER) AS diff FROM (
           SELECT *, lead(ts) OVER (PARTITION BY {TRIPLE} ORDER BY ts, value, is_online, is_scenario) AS next_time FROM numbers))
@@ -422,16 +431,7 @@ _BODIES = {
     "q_missing_dates": f"SELECT * RENAME (ts AS date_time_key) FROM ({_fill_forward('whole', 'ts')})",
     "q_daily_consumption": _Q_DAILY,
     "q_booking_hours": "SELECT * FROM hours",
-    "q_consumption_target": """SELECT m.order_id, m.order_number, m.user_name, m.room, m.space_id,
-        max(now.on_rerent) AS on_rerent, m.device_type,
-        CAST(sum(CAST(m.accumulate_value AS DECIMAL(18,2))) AS DOUBLE) AS consumption,
-        count(DISTINCT CAST(m.date AS DATE)) AS days, DATE '1998-06-29' AS date_key,
-        TIMESTAMP '2024-02-01 00:00:00' AS created_at
-        FROM met m JOIN (SELECT DISTINCT order_id, on_rerent FROM kept_days WHERE date = DATE '1998-06-29') now
-          ON m.order_id = now.order_id
-        WHERE m.device_type IS NOT NULL AND NOT m.on_rerent
-        GROUP BY m.order_id, m.order_number, m.user_name, m.room, m.space_id, m.device_type""",
-    "q_consumption_target_whole": """SELECT h.order_id, h.order_number, h.user_name, h.room, h.space_id,
+    "q_consumption_target": """SELECT h.order_id, h.order_number, h.user_name, h.room, h.space_id,
         max(now.on_rerent) AS on_rerent, r.device_type, min(r.zone_device_id) AS zone_device_id,
         arg_min(r.zone_device_control_id, r.zone_device_id) AS zone_device_control_id,
         'dev-' || min(r.zone_device_id)::VARCHAR AS zone_device_code,

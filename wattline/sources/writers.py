@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from datetime import datetime, timedelta
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,20 +56,19 @@ def replace_partitions(
     )
 
 
-def upsert(
+def merge_partitions(
     spark: SparkSession,
     new: DataFrame,
     path: str,
-    keys: list[str],
-    order: str,
+    merge: Callable[[DataFrame], DataFrame],
     partition: str = "date_key",
     fmt: str = "parquet",
 ) -> None:
-    """Insert rows that replace stored rows of an equal key; the greatest ``order`` wins.
+    """Merge rows into a table: ``merge`` makes of stored and new rows together the rows to keep.
 
-    Only the partitions the new rows touch are read and replaced. ``partition`` must be a function
-    of the keys; its values name directories, so their number is bounded by the calendar and not by
-    the rows, and the list of them is what the driver gets. The first load makes the table.
+    Only the partitions the new rows touch are read and replaced. The values of ``partition`` name
+    directories, so their number is bounded by the calendar and not by the rows, and the list of them
+    is what the driver gets. The first load makes the table.
     """
     stored = stored_or_empty(spark, path, new.schema, fmt)
     # Settled, so that the rows written are the rows whose partitions were read.
@@ -75,9 +77,46 @@ def upsert(
     at_partition = F.col(partition).isin([x for x in touched if x is not None])
     if None in touched:
         at_partition = at_partition | F.col(partition).isNull()
-    rows = stored.filter(at_partition).unionByName(new)
-    merged = latest_by_key(rows, [*keys, partition] if partition not in keys else keys, order)
-    replace_partitions(merged, path, [partition], fmt)
+    replace_partitions(merge(stored.filter(at_partition).unionByName(new)), path, [partition], fmt)
+
+
+def upsert(
+    spark: SparkSession,
+    new: DataFrame,
+    path: str,
+    keys: list[str],
+    order: str,
+    partition: str = "date_key",
+    fmt: str = "parquet",
+) -> None:
+    """Insert rows that replace stored rows of an equal key; the greatest ``order`` wins, then the
+    greatest record. ``partition`` must be a function of the keys."""
+    whole = [*keys, partition] if partition not in keys else keys
+    merge_partitions(spark, new, path, lambda rows: latest_by_key(rows, whole, order), partition, fmt)
+
+
+def expire_partitions(
+    spark: SparkSession, path: str, as_of: Any, column: str = "date_key", seconds: int = RETENTION_SECONDS
+) -> list[str]:
+    """Remove the date partitions of a table all of whose rows are older than the retention time.
+
+    They are found from the names of the partition folders; no data file is opened. Their names are
+    written to a marker below ``_expired`` first, so a run that is cut short is finished by the next
+    one, and a repeated run changes nothing. Gives the dates removed.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    oldest = (datetime.fromisoformat(str(as_of)) - timedelta(seconds=seconds)).date().isoformat()
+    names = [s.getPath().getName() for s in files.listStatus(root) if s.isDirectory()]
+    dates = (n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}="))
+    # A date's last rows lie just before the next midnight.
+    expired = sorted(d for d in dates if re.fullmatch(r"\d{4}-\d\d-\d\d", d) and d < oldest)
+    if expired:
+        marker = spark.createDataFrame([(d, str(as_of)) for d in expired], f"{column} string, as_of string")
+        marker.coalesce(1).write.mode("append").json(f"{path}/_expired")
+        for day in expired:
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(root, f"{column}={day}"), True)
+    return expired
 
 
 def jdbc_append(df: DataFrame, table: str, options: dict[str, str], connections: int = 8) -> None:
