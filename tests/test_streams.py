@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from wattline import schemas
 from wattline.operators import enrich, gapfill, reduce
-from wattline.sources import readers
-from wattline.streaming import carry, ingest, jobs, run, windows
+from wattline.sources import readers, registry
+from wattline.streaming import carry, corrections, ingest, jobs, run, windows
 
 START = datetime(2024, 1, 1)
 
@@ -159,3 +159,97 @@ def test_a_repeated_ingest_batch_changes_nothing(spark, tmp_path):
     assert sorted((r["table"], r["_id"]) for r in devices.collect()) == [
         ("DEVICE_CAMERA", "1-2-2"), (enrich.INVALID_TABLE, "1-4-4"),
     ]
+
+
+def test_late_readings_correct_stored_hours_over_restarts(spark, tmp_path):
+    loads = [rows((5, 3), (50, 4), (200, 2)), rows((6, 99), (210, 9), (600, 1)), rows((205, 9), (7, 98), (1500, 5)),
+             rows((8, 97), device=2)]
+    path, root = f"{tmp_path}/in", f"{tmp_path}/hours"
+    for load in loads:
+        feed(spark, path, load)
+        started = corrections.start_corrected_hours(
+            source(spark, path), root, f"{tmp_path}/checkpoint", {"availableNow": True}, block_hours=6
+        )
+        started.awaitTermination()
+    everything = spark.createDataFrame([r for load in loads for r in load], schemas.HISTORY_READING)
+    want = sorted(map(tuple, reduce.hourly_max(everything).collect()))
+    assert sorted(map(tuple, corrections.corrected_hours(spark, root).collect())) == want
+    closed = corrections.corrected_hours(spark, root, closed_only=True)
+    assert sorted(map(tuple, closed.collect())) == [r for r in want if r[-1] < START + timedelta(hours=24)]
+    late = {r.batch_id: r.late_rows for r in spark.read.parquet(f"{root}/marks").collect()}
+    assert late == {0: 0, 1: 1, 2: 2, 3: 1}
+    # A batch that is run again changes nothing but what it replaces.
+    corrections.write_batch(spark.createDataFrame(loads[3], schemas.HISTORY_READING), 3, root, block_hours=6)
+    assert sorted(map(tuple, corrections.corrected_hours(spark, root).collect())) == want
+
+
+@pytest.mark.parametrize("max_steps", [None, 3])
+def test_a_stream_started_from_a_table_equals_one_that_never_stopped(spark, tmp_path, max_steps):
+    carry.use_rocksdb(spark)
+    first = [*rows((5, 3), (70, 4), (400, 1)), *rows((10, 1), device=2)]
+    second = [*rows((900, 6)), *rows((1000, 2), device=3), *rows((1500, 7))]
+
+    def build(initial=None):
+        return lambda stream: carry.carry_forward(
+            windows.hourly_meter(stream), "date_time_key", 3600, max_steps, initial
+        )
+
+    want = drive(spark, build(), f"{tmp_path}/one", first, second)
+    before = drive(spark, build(), f"{tmp_path}/two", first)
+    # The hour that the first stream had not closed comes again.
+    opened = [r for r in first if r[3] >= START + timedelta(hours=6)]
+    initial = carry.last_states(before, "date_time_key")
+    after = drive(spark, build(initial), f"{tmp_path}/three", [*opened, *second])
+    assert sorted(map(tuple, before.unionByName(after).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_runs_hold_the_same_minutes(spark):
+    runs = [(1, 1, 1, START + timedelta(minutes=a), START + timedelta(minutes=b), v, True, False, a != b)
+            for a, b, v in ((3, 3, 1.0), (4, 130, 1.0), (131, 131, 5.0), (132, 180, 5.0))]
+    df = spark.createDataFrame(runs, "space_id long, zone_device_id long, zone_device_control_id long, ts timestamp, until timestamp, value double, is_online boolean, is_scenario boolean, carried boolean")
+    minutes = carry.every_period(df, "ts", 60)
+    assert minutes.count() == 178
+    want = minutes.groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("carried").alias("c"), F.max("value").alias("v")
+    )
+    got = carry.hours_of_runs(df).select("hour", "minutes", "carried", "most")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    state = carry.last_states(df, "ts").first()
+    assert (state.value, state.reached - state["at"]) == (5.0, 49 * 60_000_000)
+
+
+def test_registry_folds_units_and_lists_few_files(spark, tmp_path):
+    root = f"{tmp_path}/devices"
+    schema = "table string, key string, space_id long, zone_device_id long, zone_device_control_id long, zone_device_control_tag int, device_type string"
+    for unit in range(50):
+        # A new device each time, and one that every unit writes anew.
+        data = [("DEVICE_A", f"1-{unit}-1", 1, unit, 1, 1020, "elemeter"), ("DEVICE_B", "1-2-3", 1, 2, 3, unit, "camera")]
+        registry.write_unit(spark, spark.createDataFrame(data, schema).coalesce(1), root, str(unit))
+        if unit % 10 == 9:
+            registry.compact(spark, root)
+    found = registry.devices(spark, root)
+    assert found.count() == 51 and found.filter("_id = '1-2-3'").first().zone_device_control_tag == 49
+    assert registry.devices(spark, root, "DEVICE_A").count() == 50
+    number = registry.newest_snapshot(spark, root)
+    files = spark.read.option("basePath", root).parquet(f"{root}/snapshot={number}").inputFiles()
+    assert number == 5 and len(files) <= 4
+    # A unit that comes again after a compaction, and a snapshot that was cut short.
+    registry.write_unit(spark, spark.createDataFrame(data, schema), root, "49")
+    spark.createDataFrame([(1,)], "x int").write.parquet(f"{root}/snapshot={number + 1}")
+    assert registry.devices(spark, root).count() == 51
+    assert registry.compact(spark, root) == number + 1 and registry.devices(spark, root).count() == 51
+
+
+def test_every_message_is_routed_or_refused(spark, tmp_path):
+    good = '{"spaceId":1,"zoneDeviceId":"2","zoneDeviceControlId":3,"ts":"2024-01-01T00:00:05Z","isOnline":true,"value":7,"isScenario":"false"}'
+    texts = [good, "Exception", '{"spaceId":1}', "[]", "", '{"spaceId":"x","zoneDeviceId":2,"zoneDeviceControlId":3,"ts":"2024-01-01 00:00:00"}', None, "null"]
+    parsed = readers.parse_ragged(spark.createDataFrame([(t,) for t in texts], "value string")).collect()
+    assert [r.refused for r in parsed if r.data is None] == [t or "" for t in texts[1:]]
+    assert [tuple(r.data) for r in parsed if r.refused is None] == [(1, 2, 3, datetime(2024, 1, 1, 0, 0, 5), True, "7", False)]
+
+
+def test_counts_come_from_file_statistics(spark, sf):
+    counted = readers.row_count(spark, f"{sf}/events.parquet")
+    assert "PushedAggregation: [COUNT(*)]" in counted._jdf.queryExecution().toString()
+    assert counted.first().rows == spark.read.parquet(f"{sf}/events.parquet").count()
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"

@@ -142,7 +142,12 @@ def classify(
     ``kind`` is meter, co2 or camera for the first two and null otherwise (a registered device of
     another type is known but goes nowhere).
     """
-    joined = lookup_join(readings, device_directory(registry, invalid, master), TRIPLE)
+    return classify_by(readings, device_directory(registry, invalid, master))
+
+
+def classify_by(readings: DataFrame, directory: DataFrame) -> DataFrame:
+    """:func:`classify` with a directory that is at hand."""
+    joined = lookup_join(readings, directory, TRIPLE)
     route = (
         F.when(F.col("device_type").isNotNull(), "known")
         .when(F.col("listed_invalid"), "listed_invalid")
@@ -178,12 +183,18 @@ def typed_values(routed: DataFrame) -> DataFrame:
     )
 
 
-def messages(routed: DataFrame, topics: dict[str, str] = TOPICS) -> DataFrame:
-    """Topic, key and JSON value of every routed reading whose value has the type its kind needs."""
+def messages(
+    routed: DataFrame, topics: dict[str, str] = TOPICS, batch_id: int | None = None
+) -> DataFrame:
+    """Topic, key and JSON value of every routed reading whose value has the type its kind needs.
+
+    ``batch_id`` goes into the message, so that readers know a batch that was published twice.
+    """
     stamp = format_time(F.col("ts"))
     body = [*TRIPLE, stamp.alias("ts"), "is_online"]
-    number = F.to_json(F.struct(*body, F.col("value_double").alias("value"), "is_scenario"))
-    count = F.to_json(F.struct(*body, F.col("value_int").alias("value"), "is_scenario"))
+    tail = ["is_scenario"] if batch_id is None else ["is_scenario", F.lit(batch_id).alias("batch")]
+    number = F.to_json(F.struct(*body, F.col("value_double").alias("value"), *tail))
+    count = F.to_json(F.struct(*body, F.col("value_int").alias("value"), *tail))
     topic = F.create_map(*(F.lit(x) for pair in topics.items() for x in pair))[F.col("kind")]
     return (
         typed_values(routed)

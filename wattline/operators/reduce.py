@@ -100,17 +100,22 @@ def consumption_of(ends: DataFrame, time: str = "date_time_key") -> DataFrame:
     )
 
 
-def hourly_max(readings: DataFrame, time: str = "ts") -> DataFrame:
-    """Per device and clock hour the record with the greatest value; the latest one on a tie."""
+def hourly_best(readings: DataFrame, time: str = "ts") -> DataFrame:
+    """:func:`hourly_max` with the time of each record."""
     best = F.max(F.struct("value", time, *FLAGS)).alias("best")
     hours = readings.withColumn("date_time_key", hour_floor(F.col(time)))
     return (
         group_records(hours, [*TRIPLE, "date_time_key"])
         .agg(best)
-        .select(*TRIPLE, *(f"best.{c}" for c in FLAGS), "best.value", "date_time_key")
+        .select(*TRIPLE, f"best.{time}", *(f"best.{c}" for c in FLAGS), "best.value", "date_time_key")
     )
 
 
+def hourly_max(readings: DataFrame, time: str = "ts") -> DataFrame:
+    """Per device and clock hour the record with the greatest value; the latest one on a tie."""
+    return hourly_best(readings, time).drop(time)
+
+
 def flagged_time(time: str) -> Column:
     """Time and both flags in one number that sorts by time first.
 

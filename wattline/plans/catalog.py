@@ -18,8 +18,8 @@ from wattline.operators import enrich, gapfill, history, reduce, targets
 from wattline.operators.lookup import settle
 from wattline.plans import jobs
 from wattline.schemas import READING, TRIPLE
-from wattline.sources import readers, sample_views as v, writers
-from wattline.streaming import ingest, run, windows
+from wattline.sources import readers, registry, sample_views as v, writers
+from wattline.streaming import carry, corrections, ingest, run, windows
 from wattline.streaming import jobs as stream_jobs
 from wattline.workspace import new_folder
 
@@ -139,6 +139,36 @@ def dated_table_scan(spark, sf):
     return readers.dated_scan(spark, folder, date.fromisoformat(AS_OF), 1, table.columns)
 
 
+@query("ragged_messages")
+def ragged_messages(spark, sf):
+    """Readings of messages of which some have numbers as text, lack a field, or are no JSON."""
+    return enrich.flatten(readers.parse_ragged(_ragged(spark, sf)).filter("data is not null"))
+
+
+def _ragged(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages by the last digit of the event: 0 cut short, 1 without device, 2 numbers as text."""
+    r = v.readings(spark, sf, ["event_id"])
+    whole = F.to_json(F.struct(
+        F.col("space_id").alias("spaceId"), F.col("zone_device_id").alias("zoneDeviceId"),
+        F.col("zone_device_control_id").alias("zoneDeviceControlId"), tc.format_time(F.col("ts")).alias("ts"),
+        F.col("is_online").alias("isOnline"), "value", F.col("is_scenario").alias("isScenario"),
+    ))
+    texts = F.to_json(F.struct(
+        F.col("space_id").cast("string").alias("spaceId"), F.col("zone_device_id").cast("string").alias("zoneDeviceId"),
+        F.col("zone_device_control_id").alias("zoneDeviceControlId"), tc.format_time(F.col("ts")).alias("ts"),
+        F.col("is_online").cast("string").alias("isOnline"), F.col("value").cast("double").alias("value"),
+        F.col("is_scenario").alias("isScenario"), F.lit(1).alias("more"),
+    ))
+    digit = F.col("event_id") % 10
+    return r.select(
+        F.when(digit == 0, F.concat(F.lit('{"event":'), F.col("event_id").cast("string")))
+        .when(digit == 1, F.concat(F.lit('{"spaceId":1,"event":'), F.col("event_id").cast("string"), F.lit("}")))
+        .when(digit == 2, texts)
+        .otherwise(whole)
+        .alias("value")
+    )
+
+
 @query("range_scan_count")
 def range_scan_count(spark, sf):
     lo, hi = tc.day_range(F.lit(AS_OF).cast("date"))
@@ -233,6 +263,19 @@ def topic_publish_json(spark, sf):
     return enrich.messages(_routed(spark, sf))
 
 
+@query("topic_publish_once")
+def topic_publish_once(spark, sf):
+    """A batch that was published twice, read back once."""
+    folder = new_folder(spark, "topic")
+    sent = enrich.messages(_routed(spark, sf), batch_id=7)
+    for _ in range(2):
+        writers.publish(sent, {"path": folder}, "parquet")
+    stream = spark.readStream.schema(sent.schema).parquet(folder)
+    body = schemas.METER_MESSAGE + ", batch bigint"
+    once = run.drain(spark, readers.published_once(stream, body, "400 days"), new_folder(spark, "once"))
+    return once.withColumn("value", F.regexp_replace("value", ',"batch":7}$', "}"))
+
+
 @query("registry_upsert")
 def registry_upsert(spark, sf):
     root = new_folder(spark, "registry")
@@ -472,10 +515,11 @@ def daily_consumption_loads(spark, sf):
 def table_count(spark, sf):
     names = ["events", "orders", "lineitem", "customer"]
     counted = [
-        v.table(spark, sf, n).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows")
-        for n in names
+        readers.row_count(spark, f"{sf}/{n}.parquet").select(F.lit(n).alias("name"), "rows") for n in names
     ]
-    return fold(DataFrame.unionByName, counted)
+    # Each count is one row of a session of its own.
+    rows = [tuple(c.first()) for c in counted]
+    return spark.createDataFrame(rows, "name string, rows bigint")
 
 
 @query("map_merge_sum")
@@ -828,7 +872,7 @@ def string_contains(spark, sf):
 # -- streams ------------------------------------------------------------------------------------
 
 
-def _job_table(spark: SparkSession, job: Callable, readings: DataFrame) -> DataFrame:
+def _job_table(spark: SparkSession, job: Callable, readings: DataFrame, **options) -> DataFrame:
     """The dated table a stream job makes of readings that come as JSON texts."""
     folder = new_folder(spark, "job")
     body = F.struct(*(F.col(c).cast("string").alias(c) if c == "ts" else c for c in readings.columns))
@@ -839,6 +883,7 @@ def _job_table(spark: SparkSession, job: Callable, readings: DataFrame) -> DataF
         f"{folder}/checkpoint",
         trigger={"availableNow": True},
         partitions=spark.sparkContext.defaultParallelism,
+        **options,
     )
     started.awaitTermination()
     return readers.scan(spark, path=f"{folder}/out").drop("date_key")
@@ -857,16 +902,9 @@ def stream_minute_camera(spark, sf):
 
 @query("stream_minute_co2")
 def stream_minute_co2(spark, sf):
-    rows = _job_table(spark, stream_jobs.minute_co2, v.numeric_readings(spark, sf))
-    # Every repeat is made; the many rows are summed up per device and hour only in the end.
-    return rows.groupBy(*TRIPLE, F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
-        F.count(F.lit(1)).alias("minutes"),
-        F.count_if("carried").alias("carried"),
-        F.min("value").alias("least"),
-        F.max("value").alias("most"),
-        F.count_if("is_online").alias("online"),
-        F.count_if("is_scenario").alias("scenario"),
-    )
+    """Every minute of every sensor, summed up per device and hour from the stored runs."""
+    runs = _job_table(spark, stream_jobs.minute_co2, v.numeric_readings(spark, sf), as_runs=True)
+    return carry.hours_of_runs(runs)
 
 
 @query("stream_carry_forward")
@@ -874,27 +912,81 @@ def stream_carry_forward(spark, sf):
     return _job_table(spark, stream_jobs.hourly_meter, v.numeric_readings(spark, sf))
 
 
+@query("stream_state_handover")
+def stream_state_handover(spark, sf):
+    """The table of two streams, the second of which starts anew from what the first one wrote."""
+    readings = v.numeric_readings(spark, sf)
+    cut = F.lit("2024-01-16 05:20:00").cast("timestamp")
+    first = readings.filter(F.col("ts") < cut)
+    done = settle(_job_table(spark, stream_jobs.hourly_meter, first))
+    # Hours that the first stream had not closed come again.
+    newest = first.agg(F.max("ts")).first()[0]
+    opened = F.date_trunc("hour", F.lit(newest).cast("timestamp") - tc.interval(minutes=10))
+    rest = readings.filter(F.col("ts") >= opened)
+    initial = carry.last_states(done, "date_time_key")
+    return done.unionByName(_job_table(spark, stream_jobs.hourly_meter, rest, initial=initial))
+
+
+@query("stream_late_correction")
+def stream_late_correction(spark, sf):
+    """Hours of three loads that each reach over the whole time, with a restart after each."""
+    root, source = new_folder(spark, "corrected"), new_folder(spark, "late")
+    readings = v.readings(spark, sf, ["event_id"]).withColumn("value", F.col("value").cast("double"))
+    for load in range(3):
+        part = readings.filter(F.col("event_id") % 3 == load).drop("event_id")
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(part.schema).parquet(source)
+        started = corrections.start_corrected_hours(
+            stream, root, f"{root}/checkpoint", trigger={"availableNow": True}
+        )
+        started.awaitTermination()
+    return corrections.corrected_hours(spark, root)
+
+
+@query("stream_refused")
+def stream_refused(spark, sf):
+    """The texts that ingest could not read."""
+    folder = new_folder(spark, "ragged")
+    _ragged(spark, sf).write.text(f"{folder}/in")
+    raw = readers.read_messages(spark, "text", {"path": f"{folder}/in"})
+    started = ingest.start_ingest(
+        readers.parse_ragged(raw),
+        _stored_tables(spark, sf, f"{folder}/devices"),
+        ingest.Targets(f"{folder}/facts", f"{folder}/devices", refused=f"{folder}/refused"),
+        f"{folder}/checkpoint",
+        trigger={"availableNow": True},
+    )
+    started.awaitTermination()
+    return readers.scan(spark, path=f"{folder}/refused").select("refused")
+
+
+def _stored_tables(spark: SparkSession, sf: str, devices: str) -> ingest.Tables:
+    """The device tables of a stream that writes its own registry."""
+
+    def registered(tables: str):
+        return lambda s: registry.devices(s, devices, tables)
+
+    return ingest.Tables(
+        registry=registered("DEVICE_*"),
+        invalid=registered(enrich.INVALID_TABLE),
+        master=lambda s: v.binding_master(s, sf),
+    )
+
+
 def _ingested(spark: SparkSession, sf: str, seeded: bool) -> DataFrame:
     """Facts of all messages, from a registry that is filled or that has nothing yet."""
     folder = new_folder(spark, "ingest")
     _raw_messages(spark, sf).write.text(f"{folder}/in")
     devices = f"{folder}/devices"
     if seeded:
-        registry, invalid, _ = _device_tables(spark, sf)
+        known, invalid, _ = _device_tables(spark, sf)
         kinds = F.create_map(*(F.lit(x) for p in enrich.REGISTRY_TABLES.items() for x in p))
-        seed = registry.withColumn("table", kinds[enrich.kind_of(F.col("device_type"))]).unionByName(
+        seed = known.withColumn("table", kinds[enrich.kind_of(F.col("device_type"))]).unionByName(
             invalid.withColumn("table", F.lit(enrich.INVALID_TABLE)), allowMissingColumns=True
         )
-        writers.write_registry(seed.withColumn("key", sc.device_key()), devices, "seed")
-
-    def registered(tables: str):
-        return lambda s: readers.registry_scan(s, devices, f"table={tables}", missing_ok=True)
-
-    tables = ingest.Tables(
-        registry=registered("DEVICE_*"),
-        invalid=registered(enrich.INVALID_TABLE),
-        master=lambda s: v.binding_master(s, sf),
-    )
+        registry.write_unit(spark, seed.withColumn("key", sc.device_key()), devices, "seed")
+        registry.compact(spark, devices)
+    tables = _stored_tables(spark, sf, devices)
     messages = readers.read_stream(spark, "text", {"path": f"{folder}/in"})
     started = ingest.start_ingest(
         messages,

@@ -235,6 +235,14 @@ _BODIES = {
           CASE WHEN kind = 'camera' THEN CAST(value_int AS VARCHAR) ELSE CAST(value_double AS VARCHAR) END,
           ',"is_scenario":', is_scenario, '}}') AS value
         FROM typed WHERE value_double IS NOT NULL OR value_int IS NOT NULL""",
+    "topic_publish_once": f"""SELECT CASE kind WHEN 'meter' THEN 'device-ele-water-data'
+          WHEN 'camera' THEN 'device-camera-data' ELSE 'device-air-co2-data' END AS topic,
+        strftime(ts, {_SECONDS}) AS key,
+        concat('{{"space_id":', space_id, ',"zone_device_id":', zone_device_id, ',"zone_device_control_id":',
+          zone_device_control_id, ',"ts":"', strftime(ts, {_SECONDS}), '","is_online":', is_online, ',"value":',
+          CASE WHEN kind = 'camera' THEN CAST(value_int AS VARCHAR) ELSE CAST(value_double AS VARCHAR) END,
+          ',"is_scenario":', is_scenario, '}}') AS value
+        FROM typed WHERE value_double IS NOT NULL OR value_int IS NOT NULL""",
     "registry_upsert": f"""SELECT DISTINCT CASE kind WHEN 'meter' THEN 'DEVICE_ELE_WATER' WHEN 'co2' THEN 'DEVICE_AIR_CO2'
           WHEN 'camera' THEN 'DEVICE_CAMERA' ELSE 'INVALID_DEVICE' END AS "table",
         concat(space_id, '-', zone_device_id, '-', zone_device_control_id) AS _id, {TRIPLE},
@@ -418,6 +426,14 @@ _BODIES = {
         count(*) FILTER (is_online) AS online, count(*) FILTER (is_scenario) AS scenario
         FROM ({_carry("minutes", "ts", "MINUTE", None)}) GROUP BY ALL""",
     "stream_carry_forward": _carry("best", "date_time_key", "HOUR", None),
+    "stream_state_handover": _carry("best", "date_time_key", "HOUR", None),
+    "stream_late_correction": "SELECT * FROM best",
+    "stream_refused": """SELECT CASE WHEN event_id % 10 = 0 THEN concat('{"event":', event_id)
+        ELSE concat('{"spaceId":1,"event":', event_id, '}') END AS refused FROM events WHERE event_id % 10 < 2""",
+    "ragged_messages": f"""SELECT {TRIPLE}, date_trunc('second', ts) AS ts, is_online,
+        CASE WHEN event_id % 10 = 2 AND CAST(value AS DOUBLE) = floor(CAST(value AS DOUBLE)) THEN CAST(CAST(CAST(value AS DOUBLE) AS BIGINT) AS VARCHAR)
+          WHEN event_id % 10 = 2 THEN CAST(CAST(value AS DOUBLE) AS VARCHAR) ELSE value END AS value, is_scenario
+        FROM readings WHERE event_id % 10 > 1""",
     "stream_ingest": f"""SELECT kind, {TRIPLE}, ts, is_online, is_scenario, value_double, value_int FROM typed
         WHERE kind IS NOT NULL""",
     "stream_ingest_cold": f"""SELECT kind, {TRIPLE}, ts, is_online, is_scenario,

@@ -60,6 +60,61 @@ def parse_message(value: Column, schema: str = RAW_READING) -> Column:
     return F.from_json(value.cast("string"), schema)
 
 
+def parse_ragged(raw: DataFrame, value: str = "value") -> DataFrame:
+    """Messages whose fields may be missing or of another type than declared: ``data`` as
+    :func:`parse_message` gives it, and ``refused``, the text where that cannot be read.
+
+    The text is parsed once to a VARIANT, and each field is taken out of it by itself; numbers that come
+    as text, or text as numbers, are converted. Refused are texts that are not JSON objects, and those
+    without device or time.
+    """
+    schema = StructType.fromDDL(RAW_READING)
+    text = F.col(value).cast("string")
+    parsed = raw.withColumn("_message", F.try_parse_json(text))
+
+    def field(name: str, kind: str) -> Column:
+        if kind == "timestamp":
+            return F.try_variant_get("_message", f"$.{name}", "string").try_cast("timestamp")
+        return F.try_variant_get("_message", f"$.{name}", kind)
+
+    data = F.struct(*(field(f.name, f.dataType.simpleString()).alias(f.name) for f in schema))
+    needed = [f.name for f in schema if f.name not in ("isOnline", "value", "isScenario")]
+    whole = parsed.withColumn("data", data)
+    readable = F.lit(True)
+    for name in needed:
+        readable = readable & F.col(f"data.{name}").isNotNull()
+    return whole.select(
+        F.when(readable, F.col("data")).alias("data"), F.when(~readable, F.coalesce(text, F.lit(""))).alias("refused")
+    )
+
+
+def published_once(messages: DataFrame, schema: str, lateness: str = "10 minutes") -> DataFrame:
+    """A topic read back without the repeats of batches that were published more than once.
+
+    ``messages`` is a stream with the message text in ``value``; ``schema`` declares its fields, among
+    them the device, ``ts`` and ``batch``. A repeat comes within the lateness, so the keys seen are
+    forgotten with the watermark.
+    """
+    parsed = messages.withColumn("_read", F.from_json(F.col("value").cast("string"), schema))
+    timed = parsed.withColumn("_at", F.col("_read.ts").try_cast("timestamp")).filter("_at is not null")
+    keyed = timed.withColumns({f"_{c}": F.col(f"_read.{c}") for c in (*TRIPLE, "batch")})
+    once = keyed.withWatermark("_at", lateness).dropDuplicatesWithinWatermark(
+        [*(f"_{c}" for c in TRIPLE), "_batch", "_at", "value"]
+    )
+    return once.select(*messages.columns)
+
+
+def row_count(spark: SparkSession, path: str) -> DataFrame:
+    """The number of rows of a Parquet table from the statistics in its files; no column is read.
+
+    The count is pushed into the Parquet reader, for which a session of its own turns the settings on.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def scan(
     spark: SparkSession,
     fmt: str = "parquet",

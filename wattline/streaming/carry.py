@@ -46,6 +46,12 @@ class CarryForward(StatefulProcessor):
         self.handle = handle
         self.last = handle.getValueState("last", _STATE)
 
+    def handleInitialState(self, key, initialState, timerValues):
+        """Take over a device from a table that an earlier stream wrote."""
+        state = tuple(initialState[c] for c in ("at", "reached", "value", "is_online", "is_scenario"))
+        self.last.update(state)
+        self.handle.registerTimer(self._wake(state[1]))
+
     def handleInputRows(self, key, rows, timerValues):
         state = self.last.get()
         if state is not None:
@@ -97,12 +103,17 @@ class CarryForward(StatefulProcessor):
             yield _RUN(*key, start, end, *state[2:], True)
 
 
-def carry_forward(
-    periods: DataFrame, time: str, step_seconds: int, max_steps: int | None = None
+def carry_runs(
+    periods: DataFrame,
+    time: str,
+    step_seconds: int,
+    max_steps: int | None = None,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
-    """Stream of one row per device and period: its own record, or a repeat of the last one.
+    """Stream of records and of runs of repeats: ``time`` is the first period, ``until`` the last.
 
     ``max_steps`` bounds the repeats, and with them the state of devices that never come back.
+    ``initial`` (of :func:`last_states`) is what the devices start from when the stream is new.
     """
     runs = (
         periods.withColumn("at", F.unix_micros(time))
@@ -112,9 +123,58 @@ def carry_forward(
             outputStructType=_RUNS,
             outputMode="Append",
             timeMode="EventTime",
+            initialState=None if initial is None else initial.groupBy(*TRIPLE),
         )
     )
-    period = F.explode(F.sequence("at", "run_end", F.lit(step_seconds * 1_000_000)))
-    return runs.withColumn("at", period).select(
-        *TRIPLE, F.timestamp_micros("at").alias(time), "value", *FLAGS, "carried"
+    first, last = F.timestamp_micros("at"), F.timestamp_micros("run_end")
+    return runs.select(*TRIPLE, first.alias(time), last.alias("until"), "value", *FLAGS, "carried")
+
+
+def every_period(runs: DataFrame, time: str, step_seconds: int) -> DataFrame:
+    """Runs as one row per period. Works on a stream and on stored runs."""
+    step = F.make_dt_interval(secs=F.lit(step_seconds))
+    periods = runs.withColumn(time, F.explode(F.sequence(time, "until", step)))
+    return periods.select(*TRIPLE, time, "value", *FLAGS, "carried")
+
+
+def carry_forward(
+    periods: DataFrame,
+    time: str,
+    step_seconds: int,
+    max_steps: int | None = None,
+    initial: DataFrame | None = None,
+) -> DataFrame:
+    """Stream of one row per device and period: its own record, or a repeat of the last one."""
+    return every_period(carry_runs(periods, time, step_seconds, max_steps, initial), time, step_seconds)
+
+
+def last_states(table: DataFrame, time: str) -> DataFrame:
+    """What a new stream needs of the table an earlier one wrote (of periods or of runs): per device the
+    last record of its own and the period up to which rows were written. Two aggregates in one pass,
+    with map-side combine."""
+    at = F.unix_micros(F.col(time).cast("timestamp"))
+    end = F.unix_micros(F.col("until").cast("timestamp")) if "until" in table.columns else at
+    record = F.when(~F.col("carried"), F.struct(at.alias("at"), "value", *FLAGS))
+    last = table.groupBy(*TRIPLE).agg(F.max(record).alias("record"), F.max(end).alias("reached"))
+    return last.filter("record is not null").select(
+        *TRIPLE, "record.at", "reached", "record.value", *(f"record.{c}" for c in FLAGS)
+    )
+
+
+def hours_of_runs(runs: DataFrame, time: str = "ts") -> DataFrame:
+    """Per device and hour sums over the minutes that runs stand for, without making the minutes: a run
+    is cut at the hours it crosses and each part counts its minutes."""
+    hour = F.explode(F.sequence(F.date_trunc("hour", time), F.date_trunc("hour", "until"), F.expr("interval 1 hour")))
+    parts = runs.withColumn("hour", hour)
+    first = F.greatest(F.unix_seconds(time), F.unix_seconds("hour"))
+    last = F.least(F.unix_seconds("until"), F.unix_seconds("hour") + 3540)
+    n = F.expr("0L") + ((last - first) / 60).cast("bigint") + 1
+    where = lambda c: F.sum(F.when(F.col(c), n).otherwise(0))
+    return parts.groupBy(*TRIPLE, "hour").agg(
+        F.sum(n).alias("minutes"),
+        where("carried").alias("carried"),
+        F.min("value").alias("least"),
+        F.max("value").alias("most"),
+        where("is_online").alias("online"),
+        where("is_scenario").alias("scenario"),
     )

@@ -18,12 +18,15 @@ def hourly_meter(
     checkpoint: str,
     lateness: str = windows.LATENESS,
     max_hours: int | None = None,
+    initial: DataFrame | None = None,
     **sink: Any,
 ) -> StreamingQuery:
-    """Hourly meter readings; a silent meter repeats its last reading every hour."""
+    """Hourly meter readings; a silent meter repeats its last reading every hour. ``initial`` hands the
+    state of an earlier stream over (``carry.last_states`` of its table)."""
     carry.use_rocksdb(messages.sparkSession)
     hours = windows.hourly_meter(windows.meter_messages(messages), lateness)
-    return _start(carry.carry_forward(hours, "date_time_key", 3600, max_hours), "date_time_key", path, checkpoint, sink)
+    rows = carry.carry_forward(hours, "date_time_key", 3600, max_hours, initial)
+    return _start(rows, "date_time_key", path, checkpoint, sink)
 
 
 def minute_co2(
@@ -32,12 +35,21 @@ def minute_co2(
     checkpoint: str,
     lateness: str = windows.LATENESS,
     max_minutes: int | None = None,
+    initial: DataFrame | None = None,
+    as_runs: bool = False,
     **sink: Any,
 ) -> StreamingQuery:
-    """The first CO2 reading of every minute; a silent sensor repeats its last one."""
+    """The first CO2 reading of every minute; a silent sensor repeats its last one.
+
+    A sensor is silent most minutes. With ``as_runs`` repeats are stored as runs (``ts`` to ``until``),
+    some thousand times fewer rows, and ``carry.every_period`` gives the minutes when they are read.
+    """
     carry.use_rocksdb(messages.sparkSession)
     minutes = windows.minute_co2(windows.meter_messages(messages), lateness)
-    return _start(carry.carry_forward(minutes, "ts", 60, max_minutes), "ts", path, checkpoint, sink)
+    rows = carry.carry_runs(minutes, "ts", 60, max_minutes, initial)
+    if not as_runs:
+        rows = carry.every_period(rows, "ts", 60)
+    return _start(rows, "ts", path, checkpoint, sink)
 
 
 def minute_camera(
