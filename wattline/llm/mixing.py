@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wattline.llm.shared import free_name, hashed_order, landed
+from wattline.llm.shared import free_names, hashed_order, landed
 
 #: ``PERIOD``: slots that a task plans at a time, at least.
 PERIOD, BLOCK_ROWS, BUCKETS = 2048, 16, 4096
@@ -217,11 +217,13 @@ def mix(
     leading underscore where names clash.
     """
     spark = docs.sparkSession
-    names = {
-        n: free_name(docs.columns, n)
-        for n in ("block", "release", "deadline", "slot", "row_in_block", "key", "bucket", "order")
-    }
-    key, bucket, order = (names[n] for n in ("key", "bucket", "order"))
+    added = ("block", "release", "deadline", "slot", "row_in_block")
+    inner = ("key", "bucket", "order", "before", "rank")
+    planned = ("of_source", "of_block", "at_release", "at_deadline", "at_slot")
+    free = free_names(docs.columns, *added, *inner, *planned)
+    names = dict(zip(added, free, strict=False))
+    key, bucket, order, before_, rank = free[5:10]
+    of_source, of_block, at_release, at_deadline, at_slot = free[10:]
     keyed = docs.withColumns({key: _source_key(source), order: hashed_order(id_col)})
     keyed = keyed.withColumn(bucket, F.pmod(order, F.lit(BUCKETS)).cast("int"))
 
@@ -237,37 +239,37 @@ def mix(
     before = (
         keyed.groupBy(key, bucket)
         .count()
-        .select(key, bucket, (F.sum("count").over(by_source) - F.col("count")).alias("_before"))
+        .select(key, bucket, (F.sum("count").over(by_source) - F.col("count")).alias(before_))
     )
     within = Window.partitionBy(key, bucket).orderBy(order, id_col)
-    ranked = keyed.withColumn("_rank", F.row_number().over(within) - 1).join(before, [key, bucket])
-    ranked = ranked.withColumn("_rank", F.col("_rank") + F.col("_before")).withColumns({
-        names["block"]: F.floor(F.col("_rank") / block_rows),
-        names["row_in_block"]: F.pmod("_rank", F.lit(block_rows)).cast("int"),
+    ranked = keyed.withColumn(rank, F.row_number().over(within) - 1).join(before, [key, bucket])
+    ranked = ranked.withColumn(rank, F.col(rank) + F.col(before_)).withColumns({
+        names["block"]: F.floor(F.col(rank) / block_rows),
+        names["row_in_block"]: F.pmod(rank, F.lit(block_rows)).cast("int"),
     })
 
     # Written once, so that its size is known: a small table is sent to every task, a large one joined.
-    places = landed(slot_table(spark, phases), "slots")
-    at_place = (F.col(key) == F.col("_s")) & (F.col(names["block"]) == F.col("_block"))
+    places = landed(slot_table(spark, phases), "slots").toDF(*free[10:])
+    at_place = (F.col(key) == F.col(of_source)) & (F.col(names["block"]) == F.col(of_block))
     return ranked.join(places, at_place).select(
         *docs.columns,
         names["block"],
-        F.col("_release").alias(names["release"]),
-        F.col("_deadline").alias(names["deadline"]),
-        F.col("_slot").alias(names["slot"]),
+        F.col(at_release).alias(names["release"]),
+        F.col(at_deadline).alias(names["deadline"]),
+        F.col(at_slot).alias(names["slot"]),
         names["row_in_block"],
     )
 
 
 def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
     """The documents, ordered across and within partitions by their mixed position."""
-    slot, row = (free_name(docs.columns, n) for n in ("slot", "row_in_block"))
+    slot, row = free_names(docs.columns, "block", "release", "deadline", "slot", "row_in_block")[3:]
     return mix(docs, **options).orderBy(slot, row).select(*docs.columns)
 
 
 def with_position(docs: DataFrame, name: str, block_rows: int = BLOCK_ROWS, **options) -> DataFrame:
     """The documents with their mixed position; positions ascend with gaps after short blocks."""
-    slot, row = (free_name(docs.columns, n) for n in ("slot", "row_in_block"))
+    slot, row = free_names(docs.columns, "block", "release", "deadline", "slot", "row_in_block")[3:]
     position = F.col(slot) * block_rows + F.col(row)
     return mix(docs, block_rows=block_rows, **options).select(*docs.columns, position.alias(name))
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wattline.llm.shared import landed
+from wattline.llm.shared import free_names, landed
 from wattline.llm.tokens import encoder, ids_crc32
 
 RANK_BUCKETS = 512
@@ -121,74 +121,82 @@ def plan_slots(histogram: dict[int, int], capacity: int) -> list[tuple[int, int,
 def pack(pieces: DataFrame, capacity: int, keys: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
     """``pieces`` (with a ``length`` of 1 to ``capacity``) and the ``sequence_id`` and ``offset`` of
     each. ``pieces`` is read three times and so should be a stored table."""
+    sequence_id, offset, bucket_, before_, within_, rank_, length_, from_, to_, first_ = free_names(
+        pieces.columns, "sequence_id", "offset", "bucket", "before", "within", "rank", "of_length", "from", "to", "first"
+    )
     counted = pieces.groupBy("length").count().collect()  # at most ``capacity`` rows
     plan = plan_slots({r["length"]: r["count"] for r in counted}, capacity)
     slots = pieces.sparkSession.createDataFrame(
-        plan, "_length long, _from long, _to long, _first long, offset long"
-    )
+        plan, "length long, first long, end long, sequence long, offset long"
+    ).toDF(length_, from_, to_, first_, offset)
     if len(plan) <= capacity * 64:
         slots = F.broadcast(slots)
-    spread = pieces.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(RANK_BUCKETS)))
+    spread = pieces.withColumn(bucket_, F.pmod(F.xxhash64(*keys), F.lit(RANK_BUCKETS)))
     before = (
-        spread.groupBy("length", "_bucket")
+        spread.groupBy("length", bucket_)
         .count()
         .withColumn(
-            "_before",
-            F.sum("count").over(Window.partitionBy("length").orderBy("_bucket")) - F.col("count"),
+            before_,
+            F.sum("count").over(Window.partitionBy("length").orderBy(bucket_)) - F.col("count"),
         )
         .drop("count")
     )
-    within = Window.partitionBy("length", "_bucket").orderBy(*keys)
-    ranked = spread.withColumn("_within", F.row_number().over(within) - 1).join(
-        before, ["length", "_bucket"]
+    within = Window.partitionBy("length", bucket_).orderBy(*keys)
+    ranked = spread.withColumn(within_, F.row_number().over(within) - 1).join(
+        before, ["length", bucket_]
     )
-    rank = F.col("_before") + F.col("_within")
+    rank = F.col(before_) + F.col(within_)
     return (
-        ranked.withColumn("_rank", rank)
+        ranked.withColumn(rank_, rank)
         .join(
             slots,
-            (F.col("length") == F.col("_length"))
-            & (F.col("_from") <= F.col("_rank"))
-            & (F.col("_rank") < F.col("_to")),
+            (F.col("length") == F.col(length_))
+            & (F.col(from_) <= F.col(rank_))
+            & (F.col(rank_) < F.col(to_)),
         )
-        .withColumn("sequence_id", F.col("_first") + F.col("_rank") - F.col("_from"))
-        .select(*pieces.columns, "sequence_id", "offset")
+        .withColumn(sequence_id, F.col(first_) + F.col(rank_) - F.col(from_))
+        .select(*pieces.columns, sequence_id, offset)
     )
 
 
 def pack_in_order(pieces: DataFrame, capacity: int, window_rows: int = WINDOW_ROWS) -> DataFrame:
     """``pieces`` with a ``position`` and the ``sequence_id`` and ``offset`` of each, packed by windows
     of positions. Within a window the pieces of a length take their places by position."""
-    spread = pieces.withColumn("_window", F.expr(f"position div {window_rows}"))
+    sequence_id, offset, window_, number_, length_, from_, to_, first_, size_, base_, rank_ = free_names(
+        pieces.columns, "sequence_id", "offset", "window", "number", "of_length", "from", "to", "first", "size",
+        "base", "rank",
+    )
+    spread = pieces.withColumn(window_, F.expr(f"position div {window_rows}"))
 
     def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = ("_number", "_length", "_from", "_to", "_first", "offset", "_size")
+        kinds = ("number", "length", "start", "end", "sequence", "offset", "size")
         for row in (r for batch in batches for r in batch.to_pylist()):
             rows = plan_slots({c["length"]: c["count"] for c in row["counts"]}, capacity)
             size = max(first + end - rank for _, rank, end, first, _ in rows)
-            columns = zip(*((row["_window"], *r, size) for r in rows), strict=True)
+            columns = zip(*((row["window"], *r, size) for r in rows), strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=kinds)
 
-    counts = spread.groupBy("_window", "length").count()
-    each = counts.groupBy("_window").agg(F.collect_list(F.struct("length", "count")).alias("counts"))
-    kinds = "_number long, _length long, _from long, _to long, _first long, offset long, _size long"
+    counts = spread.groupBy(F.col(window_).alias("window"), "length").count()
+    each = counts.groupBy("window").agg(F.collect_list(F.struct("length", "count")).alias("counts"))
+    kinds = "number long, length long, start long, end long, sequence long, offset long, size long"
     slots = landed(each.mapInArrow(plan, kinds), "window-plans")
+    slots = slots.toDF(number_, length_, from_, to_, first_, offset, size_)
     # A row per window: how many sequences the windows before it have.
-    before = Window.orderBy("_number").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = slots.select("_number", "_size").distinct()
-    bases = sizes.select("_number", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
-    within = Window.partitionBy("_window", "length").orderBy("position", "piece")
+    before = Window.orderBy(number_).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = slots.select(number_, size_).distinct()
+    bases = sizes.select(number_, F.coalesce(F.sum(size_).over(before), F.lit(0)).alias(base_))
+    within = Window.partitionBy(window_, "length").orderBy("position", "piece")
     return (
-        spread.withColumn("_rank", F.row_number().over(within) - 1)
+        spread.withColumn(rank_, F.row_number().over(within) - 1)
         .join(
-            slots.join(bases, "_number"),
-            (F.col("_window") == F.col("_number"))
-            & (F.col("length") == F.col("_length"))
-            & (F.col("_from") <= F.col("_rank"))
-            & (F.col("_rank") < F.col("_to")),
+            slots.join(bases, number_),
+            (F.col(window_) == F.col(number_))
+            & (F.col("length") == F.col(length_))
+            & (F.col(from_) <= F.col(rank_))
+            & (F.col(rank_) < F.col(to_)),
         )
-        .withColumn("sequence_id", F.col("_base") + F.col("_first") + F.col("_rank") - F.col("_from"))
-        .select(*pieces.columns, "sequence_id", "offset")
+        .withColumn(sequence_id, F.col(base_) + F.col(first_) + F.col(rank_) - F.col(from_))
+        .select(*pieces.columns, sequence_id, offset)
     )
 
 

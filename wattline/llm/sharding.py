@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wattline.llm.shared import free_name, landed
+from wattline.llm.shared import free_names, landed
+from wattline.workspace import new_folder
 
 ROW_BYTES = 16
 KEY_BITS, FIRST_BITS, NEXT_BITS = 56, 16, 8
@@ -87,7 +88,8 @@ def assign_shards(
     The law is ``bytes``: shards are of near-equal size; where the shards of two tables must agree by
     key, this is not the operator. Added columns get a leading underscore where names clash.
     """
-    names = {n: free_name(docs.columns, n) for n in ("shard", "slot", "bytes", "sort_key", "range")}
+    wishes = ("shard", "slot", "bytes", "sort_key", "range", "before", "passed", "inner")
+    names = dict(zip(wishes, free_names(docs.columns, *wishes), strict=True))
     key, size = sort_key(id_col, text), row_bytes(text)
     keys = landed(docs.select(key.alias("key"), size.alias("bytes")), "shard-keys")
     cuts = find_splitters(keys, shards, tolerance)
@@ -101,20 +103,24 @@ def assign_shards(
         .withColumn("all", all_cuts)
         .select(
             F.col("range").alias(names["range"]),
-            "before",
-            F.size(F.filter("all", lambda c: first_range(c) < F.col("range"))).alias("passed"),
-            F.filter("all", lambda c: first_range(c) == F.col("range")).alias("inner"),
+            F.col("before").alias(names["before"]),
+            F.size(F.filter("all", lambda c: first_range(c) < F.col("range"))).alias(names["passed"]),
+            F.filter("all", lambda c: first_range(c) == F.col("range")).alias(names["inner"]),
         )
     )
     keyed = docs.withColumns({names["sort_key"]: key, names["bytes"]: size})
     keyed = keyed.withColumn(names["range"], first_range(F.col(names["sort_key"])))
+    # The one exchange of whole rows: partitions are runs of ranges, so each holds few shards, and the
+    # ranks within ranges need no other.
+    keyed = keyed.repartitionByRange(names["range"])
     in_range = Window.partitionBy(names["range"]).orderBy(names["sort_key"], id_col)
     placed = (
         keyed.withColumn(names["slot"], F.row_number().over(in_range) - 1)
         .join(F.broadcast(ranges), names["range"])
         .withColumn(
             names["shard"],
-            F.col("passed") + F.size(F.filter("inner", lambda c: c <= F.col(names["sort_key"]))),
+            F.col(names["passed"])
+            + F.size(F.filter(names["inner"], lambda c: c <= F.col(names["sort_key"]))),
         )
     )
     # Rows below each splitter: what lies before its first range and, within it, below the splitter.
@@ -123,7 +129,7 @@ def assign_shards(
         F.array(*[F.lit(n).cast("long") for n in [0, *firsts]]), F.col(names["shard"]) + 1
     )
     return placed.withColumn(
-        names["slot"], (F.col("before") + F.col(names["slot"]) - below).cast("long")
+        names["slot"], (F.col(names["before"]) + F.col(names["slot"]) - below).cast("long")
     ).select(*docs.columns, names["bytes"], names["shard"], names["slot"])
 
 
@@ -138,26 +144,23 @@ def _rows_below(keys: DataFrame, cuts: list[int]) -> list[int]:
 
 
 def write_shards(placed: DataFrame, path: str, shard: str = "shard", slot: str = "slot") -> None:
-    """Write rows that have a shard below one folder per shard, in the order of their slots."""
-    (
-        placed.repartitionByRange(F.col(shard), F.col(slot))
-        .sortWithinPartitions(shard, slot)
-        .write.partitionBy(shard)
-        .parquet(path)
-    )
+    """Write rows as :func:`assign_shards` places them, a folder per shard, in the order of their slots.
+    They lie by key ranges already, so nothing is exchanged again."""
+    placed.sortWithinPartitions(shard, slot).write.partitionBy(shard).parquet(path)
 
 
 def digest(docs: DataFrame, shards: int = 40) -> DataFrame:
-    """Per document: size, checksum of the text, and where it lies."""
-    # The checksum is taken before the exchange, so that texts stay where they are.
+    """Per document: size, checksum of the text, and where it lies, read back from the shards."""
+    folder = new_folder(docs.sparkSession, "shards")
+    write_shards(assign_shards(docs.select("doc_id", "text"), shards), folder)
+    stored = docs.sparkSession.read.schema("doc_id long, text string, bytes long, slot long, shard int")
     checksum = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
-    own = docs.select("doc_id", "text", checksum.alias("text_crc32"))
-    return assign_shards(own, shards).select(
+    return stored.parquet(folder).select(
         "doc_id",
-        F.col("bytes").alias("size"),
-        "text_crc32",
+        row_bytes("text").cast("long").alias("size"),
+        checksum.alias("text_crc32"),
         F.lit("bytes").alias("law"),
-        F.col("shard").cast("int").alias("shard"),
+        "shard",
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )

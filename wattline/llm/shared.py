@@ -39,6 +39,14 @@ def free_name(taken: list[str], wish: str) -> str:
     return wish
 
 
+def free_names(taken: list[str], *wishes: str) -> list[str]:
+    """Column names that clash neither with ``taken`` nor with each other."""
+    out: list[str] = []
+    for wish in wishes:
+        out.append(free_name([*taken, *out], wish))
+    return out
+
+
 def hashed_order(*cols: str | Column) -> Column:
     """A fixed pseudo-random order of rows."""
     return F.xxhash64(F.lit(7919), *cols)
