@@ -105,13 +105,16 @@ def side_b(path: str) -> Pieces:
     return Pieces(path)
 
 
-def slices(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
-    """Where the groups of each side end, as indices after their last token. Ends ascend, so the common
-    keys come out sorted."""
-    at_a = dict(zip(ends_a, range(1, len(ends_a) + 1), strict=True))
+def slices(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Where the groups of each side end, as indices after their last token.
+
+    The ends of A, which ascend, are looked up in B's dictionary, so the common keys come out sorted.
+    """
     at_b = dict(zip(ends_b, range(1, len(ends_b) + 1), strict=True))
-    common = list(filter(at_b.__contains__, at_a))
-    return list(map(at_a.__getitem__, common)), list(map(at_b.__getitem__, common))
+    found = list(map(at_b.get, ends_a))
+    both = np.array(found, np.float64)  # null where only A ends
+    common = np.flatnonzero(~np.isnan(both))
+    return common + 1, both[common].astype(np.int64)
 
 
 def links_of(sizes_a: np.ndarray, sizes_b: np.ndarray, stop_a: np.ndarray, stop_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,10 +124,12 @@ def links_of(sizes_a: np.ndarray, sizes_b: np.ndarray, stop_a: np.ndarray, stop_
     begin_b = stop_b - count_b
     slice_of = np.repeat(np.arange(len(stop_a)), count_a)
     low, high = begin_b[slice_of], stop_b[slice_of]
-    if ((count_a > 1) & (count_b > 1)).any():
-        ends_a, ends_b = np.cumsum(sizes_a), np.cumsum(sizes_b)
-        low = np.maximum(low, np.searchsorted(ends_b, ends_a - sizes_a, side="right"))
-        high = np.minimum(high, np.searchsorted(ends_b - sizes_b, ends_a, side="left"))
+    several = np.flatnonzero(((count_a > 1) & (count_b > 1))[slice_of])
+    if len(several):
+        ends_b = np.cumsum(sizes_b)
+        end = np.cumsum(sizes_a)[several]
+        low[several] = np.searchsorted(ends_b, end - sizes_a[several], side="right")
+        high[several] = np.searchsorted(ends_b - sizes_b, end, side="left")
     n = high - low
     left = np.repeat(np.arange(len(n)), n)
     return left, np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
@@ -154,8 +159,7 @@ def align(text: str, a: np.ndarray, b: np.ndarray, one: ByteLevel, other: Pieces
     if one.entries.joined(a) != whole or other.entries.joined(b) != whole:
         return None
     sizes_a, sizes_b = one.entries.sizes[a], other.entries.sizes[b]
-    stops = slices(np.cumsum(sizes_a).tolist(), np.cumsum(sizes_b).tolist())
-    stop_a, stop_b = map(np.array, stops)
+    stop_a, stop_b = slices(np.cumsum(sizes_a).tolist(), np.cumsum(sizes_b).tolist())
     return stop_a, stop_b, links_of(sizes_a, sizes_b, stop_a, stop_b)
 
 
