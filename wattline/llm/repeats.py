@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -74,18 +75,23 @@ def prefix_hashes(words: np.ndarray) -> np.ndarray:
     return mixed(total)
 
 
-def anchors_of(prefixes: np.ndarray, windows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors of a document's windows: place, and its first and last window."""
-    view = np.lib.stride_tricks.sliding_window_view(prefixes[: windows + SPAN - 1], SPAN)
-    chosen = view.argmin(axis=1) + np.arange(windows)
-    first = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
-    last = np.append(first[1:], windows) - 1
-    return chosen[first], first, last
+def least_ahead(values: np.ndarray) -> np.ndarray:
+    """Place of the least of ``SPAN`` values from each on, the first one on a tie; places near the end
+    look at what there is. Ranges of doubling width are combined."""
+    best = np.arange(len(values))
+    width = 1
+    while width < SPAN:
+        step = min(width, SPAN - width)
+        ahead = best[step:]
+        own = best[: len(ahead)]
+        best = np.concatenate([np.where(values[ahead] < values[own], ahead, own), best[len(ahead) :]])
+        width += step
+    return best
 
 
 def _anchored(texts: list[str | None]) -> Iterator[tuple]:
-    """Per text: its number, bytes (a line break after each word), word starts and ends, and prefixes,
-    places and windows of anchors."""
+    """Per text: its number, bytes (a line break after each word), word starts and ends, and the
+    prefix, the place, and the first and last window of each anchor."""
     raw = [(t or "").encode() for t in texts]
     for part in batches([len(t) for t in raw]):
         data, starts, ends, cuts = word_spans(raw[part])
@@ -93,11 +99,16 @@ def _anchored(texts: list[str | None]) -> Iterator[tuple]:
         lines = data.copy()
         lines[ends] = 10
         line = lines.tobytes()
+        # A window's anchor lies within it, so what a window finds does not depend on its neighbours.
+        anchor = least_ahead(prefixes)
         for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
             if b - a >= WINDOW:
-                own = prefixes[a : b - PREFIX + 1]
-                place, first, last = anchors_of(own, b - a - WINDOW + 1)
-                yield part.start + i, line, starts[a:b], ends[a:b], own[place].view(np.int64), place, first, last
+                chosen = anchor[a : b - WINDOW + 1]
+                first = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
+                last = np.append(first[1:], len(chosen)) - 1
+                place = chosen[first]
+                prefix = prefixes[place].view(np.int64)
+                yield part.start + i, line, starts[a:b], ends[a:b], prefix, place - a, first, last
 
 
 def key_of(docs: DataFrame) -> list[Column]:
@@ -207,8 +218,9 @@ def repeats_in_group(words: list[bytes], place: np.ndarray, first: np.ndarray, w
     """
     pieces = [w.split(b"\n") for w in words]
     size = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    numbers: dict[bytes, int] = {}
-    flat = np.fromiter((numbers.setdefault(w, len(numbers)) for p in pieces for w in p), np.int64, size.sum())
+    every = list(chain.from_iterable(pieces))
+    numbers = {w: i for i, w in enumerate(dict.fromkeys(every))}
+    flat = np.fromiter(map(numbers.__getitem__, every), np.int64, len(every))
     begin = np.cumsum(size) - size
     middle = place - first  # words before the anchor
     right = np.arange(WINDOW)[None, :] + middle[:, None]
@@ -223,21 +235,43 @@ def repeats_in_group(words: list[bytes], place: np.ndarray, first: np.ndarray, w
             continue
         a, b = at_depth(*after, WINDOW - o)[own], at_depth(*before, o)[own]
         start = place[own] - o
-        order = np.lexsort((start, key[own], b, a))
-        fresh = np.concatenate([[True], (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])])
-        lead = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
-        later = (key[own][order] != key[own][lead]) | (start[order] != start[lead])
-        rows.append(own[order[later]])
-        starts.append(start[order[later]])
+        later, _ = later_occurrences((a, b), key[own], start)
+        rows.append(own[later])
+        starts.append(start[later])
     if not rows:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     return np.concatenate(rows), np.concatenate(starts)
 
 
+def later_occurrences(
+    classes: tuple[np.ndarray, ...], key: np.ndarray, start: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Of occurrences with equal classes all but the first ones (by document and start), and the first of
+    each class."""
+    order = np.lexsort((start, key, *classes[::-1]))
+    fresh = np.zeros(len(order), bool)
+    fresh[:1] = True
+    for c in classes:
+        fresh[1:] |= c[order][1:] != c[order][:-1]
+    lead = order[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
+    later = (key[order] != key[lead]) | (start[order] != start[lead])
+    return order[later], order[fresh]
+
+
 _STARTS = "last boolean, id long, tie long, starts array<int>"
 
 
-def _grouped_starts(table: pa.Table, row: np.ndarray, start: np.ndarray, key: np.ndarray) -> pa.Table:
+def _document_numbers(rows: pa.Table | pa.RecordBatch) -> np.ndarray:
+    """A number per row that orders the documents."""
+    columns = [rows.column(c).to_numpy(zero_copy_only=False) for c in KEY]
+    order = np.lexsort(columns[::-1])
+    fresh = np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)
+    number = np.empty(len(order), np.int64)
+    number[order] = np.concatenate([[0], np.cumsum(fresh)])[: len(order)]
+    return number
+
+
+def _grouped_starts(table: pa.Table | pa.RecordBatch, row: np.ndarray, start: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
     """Starts gathered per document."""
     order = np.lexsort((start, key[row]))
     row, start = row[order], start[order]
@@ -245,21 +279,18 @@ def _grouped_starts(table: pa.Table, row: np.ndarray, start: np.ndarray, key: np
     at = pa.array(row[edge], pa.int64())
     offsets = pa.array(np.append(edge, len(row)), pa.int32())
     lists = pa.ListArray.from_arrays(offsets, pa.array(start, pa.int32()))
-    return pa.table([*(table.column(c).take(at) for c in KEY), lists], names=[*KEY, "starts"])
+    return pa.RecordBatch.from_arrays([*(table.column(c).take(at) for c in KEY), lists], names=[*KEY, "starts"])
 
 
 def starts_in_trees(suffixes: DataFrame, groups: int) -> DataFrame:
     """Starts of repeated windows, per document and group."""
 
     def grow(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        columns = [table.column(c).to_numpy(zero_copy_only=False) for c in KEY]
-        order = np.lexsort(columns[::-1])
-        fresh = np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)
-        key = np.empty(len(order), np.int64)
-        key[order] = np.concatenate([[0], np.cumsum(fresh)])
-        numbers = [table.column(c).to_numpy().astype(np.int64) for c in ("place", "first", "windows")]
-        return _grouped_starts(table, *repeats_in_group(table.column("words").to_pylist(), *numbers, key), key)
+        rows = table.combine_chunks().to_batches()[0]
+        key = _document_numbers(rows)
+        numbers = [rows.column(c).to_numpy().astype(np.int64) for c in ("place", "first", "windows")]
+        found = repeats_in_group(rows.column("words").to_pylist(), *numbers, key)
+        return pa.Table.from_batches([_grouped_starts(rows, *found, key)])
 
     group = F.pmod(F.xxhash64("prefix"), F.lit(groups)).alias("group")
     return (
@@ -273,32 +304,46 @@ def starts_at_full_depth(suffixes: DataFrame, group_rows: int) -> DataFrame:
     """Starts of repeated windows whose prefix has grown to the whole window."""
 
     def windows(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Occurrences of a batch meet here: all but the first are repeats, and only the first goes on.
         for batch in found:
             number, starts, names = [], [], []
             firsts, words = batch.column("first").to_pylist(), batch.column("words").to_pylist()
             for i, n in enumerate(batch.column("windows").to_pylist()):
                 own = words[i].split(b"\n")
-                for k in range(n):
-                    number.append(i)
-                    starts.append(firsts[i] + k)
-                    whole = b"\n".join(own[k : k + WINDOW])
-                    names.append(hashlib.blake2b(whole, digest_size=16).digest())
-            at = pa.array(number, pa.int64())
+                number += [i] * n
+                starts += range(firsts[i], firsts[i] + n)
+                names += [b"\n".join(own[k : k + WINDOW]) for k in range(n)]
+            codes = {w: i for i, w in enumerate(dict.fromkeys(names))}
+            code = np.fromiter(map(codes.__getitem__, names), np.int64, len(names))
+            row, start, key = np.array(number, np.int64), np.array(starts, np.int64), _document_numbers(batch)
+            later, lead = later_occurrences((code,), key[row], start)
+            repeats = _grouped_starts(batch, row[later], start[later], key)
+            if len(repeats):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(len(repeats), pa.binary()), pa.nulls(len(repeats), pa.int64()), *repeats.columns],
+                    names=["window", "uses", *KEY, "starts"],
+                )
+            at = pa.array(row[lead])
+            digests = [hashlib.blake2b(names[j], digest_size=16).digest() for j in lead.tolist()]
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(lead) + 1), pa.int32()), pa.array(start[lead], pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.binary()), *(batch.column(c).take(at) for c in ("uses", *KEY)), pa.array(starts, pa.int32())],
-                names=["window", "uses", *KEY, "start"],
-            )
+                [pa.array(digests, pa.binary()), *(batch.column(c).take(at) for c in ("uses", *KEY)), lists],
+                names=["window", "uses", *KEY, "starts"],
+            )
 
-    kinds = "window binary, uses long, last boolean, id long, tie long, start int"
-    rows = suffixes.select("uses", *KEY, "first", "windows", "words").mapInArrow(windows, kinds)
+    kinds = "window binary, uses long, last boolean, id long, tie long, starts array<int>"
+    rows = landed(suffixes.select("uses", *KEY, "first", "windows", "words").mapInArrow(windows, kinds), "full-depth")
+    firsts = rows.filter("window is not null").withColumn("start", F.element_at("starts", 1))
     parts = F.ceil(F.col("uses") * SPAN / group_rows)
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64(*KEY, "start"), parts))
+    dealt = firsts.withColumn("part", F.pmod(F.xxhash64(*KEY, "start"), parts))
     place = [*KEY, "start"]
     rank = lambda *by: F.dense_rank().over(Window.partitionBy(*by).orderBy(*place))
     within = landed(dealt.withColumn("rank", rank("window", "part")).drop("part", "uses"), "full-depth")
     across = within.filter("rank = 1").withColumn("rank", rank("window"))
-    later = within.filter("rank > 1").union(across.filter("rank > 1"))
-    return later.groupBy(*KEY).agg(F.sort_array(F.collect_set("start")).alias("starts"))
+    found = rows.filter("window is null").select(*KEY, "starts")
+    for part in (within, across):
+        found = found.union(part.filter("rank > 1").select(*KEY, "starts"))
+    return found
 
 
 def repeated_starts(rows: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
