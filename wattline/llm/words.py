@@ -35,23 +35,30 @@ def _value(code: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of the bytes of each span, the same wherever they stand. Spans do not overlap.
+    """Hash of the bytes of each span, the same wherever they stand. Spans ascend and do not overlap.
 
     A byte's number depends on its place in the span through a mixing function, not through powers of
     a base, so that no family of words (such as Thue-Morse ones) collides by construction.
     """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
     size = (ends - starts).astype(np.int64)
-    total = np.concatenate([[0], np.cumsum(size)])
-    place = np.arange(total[-1]) - np.repeat(total[:-1], size)
-    byte = data[place + np.repeat(starts.astype(np.int64), size)]
-    code = (place << 8) | byte
-    if len(size) and size.max() <= _TABLED:
-        value = _values()[code]
+    # The place of every byte since the last start. What lies between spans is not in any difference.
+    head, upto = int(starts[0]), int(ends[-1])
+    place = np.arange(head, upto, dtype=np.int32)
+    place -= np.repeat(starts.astype(np.int32), np.diff(starts, append=upto))
+    if size.max() <= _TABLED:
+        np.minimum(place, _TABLED - 1, out=place)
+        place <<= 8
+        place |= data[head:upto]
+        value = _values().take(place)
     else:
-        value = np.where(place < _TABLED, _values()[np.minimum(code, _TABLED * 256 - 1)], _value(code.astype(np.uint64)))
+        code = (place.astype(np.int64) << 8) | data[head:upto]
+        tabled = _values()[np.minimum(code, _TABLED * 256 - 1)]
+        value = np.where(place < _TABLED, tabled, _value(code.astype(np.uint64)))
     sums = np.zeros(len(value) + 1, np.uint64)
     np.cumsum(value, out=sums[1:])
-    return mixed(sums[total[1:]] - sums[total[:-1]] + size.astype(np.uint64) * np.uint64(_BASE))
+    return mixed(sums[ends - head] - sums[starts - head] + size.astype(np.uint64) * np.uint64(_BASE))
 
 
 def batches(sizes: list[int]) -> Iterator[slice]:
