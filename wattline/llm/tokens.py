@@ -97,8 +97,10 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_specials
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)", re.IGNORECASE)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        # Tokens that are matched after case is dropped are looked for in texts without case.
+        self.added = [t.content for t in added if not t.normalized]
+        self.added_lower = [t.content.lower() for t in added if t.normalized]
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.lower = lower
@@ -113,6 +115,11 @@ class WordEncoder:
         self.ids, self.size = np.empty(1 << 20, self.dtype), 0
         self.spans = np.zeros((1 << 18, 2), np.int64)  # begin and length by place
 
+    def _holds_added(self, text: str) -> bool:
+        if self.added_lower and any(a in text.lower() for a in self.added_lower):
+            return True
+        return any(a in text for a in self.added)
+
     def _whole(self, text: str) -> np.ndarray:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(found[0].ids, self.dtype)
@@ -171,7 +178,7 @@ class WordEncoder:
         for part in batches([len(t) for t in texts]):
             known = []
             for i in range(part.start, part.stop):
-                if _KNOWN_CHARS.fullmatch(texts[i]) and not self.added.search(texts[i]):
+                if _KNOWN_CHARS.fullmatch(texts[i]) and not self._holds_added(texts[i]):
                     known.append(i)
                 else:
                     out[i] = self._whole(texts[i])
