@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -227,10 +228,34 @@ def test_grammar_compresses_and_expands():
     ids = rng.choice(50, 20_000, p=np.arange(50, 0, -1) / 1275)
     ids[5000:9000] = np.tile(ids[:100], 40)
     sizes = np.array([0, 5000, 1, 0, 9999, 5000])
-    symbols, spans, rules = token_files.compress(ids, sizes, 50, rounds=6)
+    symbols, spans, rules = token_files.compress(ids, sizes, 50)
     assert len(symbols) < 0.7 * len(ids) and spans.sum() == len(symbols)
     lengths = token_files.expansion_lengths(rules, 50)
     assert (token_files.expand(symbols, rules, lengths, 50) == ids).all()
+    assert len({tuple(r) for r in rules.tolist()}) == len(rules)
+    # No pair within a document is frequent any more.
+    uses = Counter()
+    for a, n in zip(np.cumsum(spans) - spans, spans, strict=True):
+        uses.update(zip(symbols[a : a + n - 1].tolist(), symbols[a + 1 : a + n].tolist()) if n else ())
+    assert max(uses.values()) < token_files.LEAST_USES
+
+
+def test_long_repeats_become_deep_rules():
+    ids = np.concatenate([np.tile(np.arange(1000), 64), np.full(5000, 7)]).astype(np.uint32)
+    symbols, spans, rules = token_files.compress(ids, np.array([0, *[1000] * 64, 5000]), 1000)
+    lengths = token_files.expansion_lengths(rules, 1000)
+    assert spans.tolist()[:65] == [0] + [1] * 64 and spans[65] < 16 and lengths.max() >= 1000
+    assert (token_files.expand(symbols, rules, lengths, 1000) == ids).all()
+
+
+def test_documents_are_read_by_their_bits(tmp_path):
+    rng = np.random.default_rng(9)
+    docs = [rng.integers(65_500, 65_536, n).astype(np.uint32) for n in (9001, 0, 1, 4003)]
+    uri = f"file://{tmp_path}/a"
+    (tmp_path / "a").write_bytes(b"".join(token_files.file_bytes([5, None, 6, 7], docs, 65_536)))
+    file = token_files.TokenFile(uri)
+    assert file.width == 17 and (file.all_ids() == np.concatenate(docs)).all()
+    assert all((file.document(i) == d).all() for i, d in enumerate(docs))
 
 
 def test_archives_round_trip(spark):

@@ -1,14 +1,14 @@
 """Token ids in files, compressed by grammar (Re-Pair), in ascending order of documents.
 
 Documents are range-partitioned by id; each task writes files of at most ``FILE_TOKENS`` ids. Within a
-file frequent pairs of neighbouring symbols are replaced by new symbols, round after round; each
-round takes all pairs that occur often enough, most frequent first, instead of one pair at a time.
+file frequent pairs of neighbouring symbols are replaced by new symbols, round after round until no
+pair occurs ``LEAST_USES`` times; a round takes the ``ROUND_RULES`` most frequent pairs instead of one.
 Pairs never span two documents, so any document can be decoded by itself.
 
 File format, little-endian: ``MAGIC``, then 6 unsigned 64-bit numbers (documents, rules, symbols, id
 bytes, first rule's symbol, tokens), then sections: document ids (8 bytes each) and their null marks
 (1 byte), tokens per document (8), symbols per document (8), rules as pairs (4 + 4), tokens a rule
-expands to (4), symbols (2 bytes each where they fit, else 4).
+expands to (4), symbols (as many bits each as the largest needs).
 
 Files are written by one attempt of one task each and listed only by tasks that ended, so lost
 executors and repeated tasks leave no trace in the result.
@@ -32,14 +32,17 @@ from wattline.llm.shared import landed, read_range, write_file
 from wattline.llm.tokens import encoder
 from wattline.workspace import new_folder
 
-MAGIC = b"REPAIR01"
+MAGIC = b"REPAIR02"
 FILE_TOKENS = 2_000_000
-#: Rounds of replacement, rules per round, and how often a pair must occur to become a rule.
-ROUNDS, ROUND_RULES, LEAST_USES = 3, 4096, 8
+#: Rules that one round may add, and how often a pair must occur to become a rule. Rounds go on until
+#: no pair does.
+ROUND_RULES, LEAST_USES = 16384, 8
+_HALF, _LOW = np.uint64(32), np.uint64(0xFFFFFFFF)
 
 
-def compress(ids: np.ndarray, sizes: np.ndarray, base: int, rounds: int = ROUNDS):
-    """Replace frequent pairs. ``ids`` of all documents, ``sizes`` per document, ``base`` above all ids.
+def compress(ids: np.ndarray, sizes: np.ndarray, base: int):
+    """Replace pairs until none occurs ``LEAST_USES`` times. ``ids`` of all documents, ``sizes`` per
+    document, ``base`` above all ids.
 
     Gives symbols, symbols per document, and rules: rule ``i`` is symbol ``base + i``, a pair of ids or
     earlier rules.
@@ -47,48 +50,75 @@ def compress(ids: np.ndarray, sizes: np.ndarray, base: int, rounds: int = ROUNDS
     symbols = ids.astype(np.uint32)
     last = np.zeros(len(ids), bool)
     last[np.cumsum(sizes)[sizes > 0] - 1] = True
-    rules = [np.empty((0, 2), np.uint32)]
+    # Where a pair begins that may be frequent. One that is not can only become so by symbols that come
+    # later; since rules of earlier rounds may come again, all pairs are counted once more at the end.
+    alive, counted = ~last, True
+    rules, known, number = [np.empty((0, 2), np.uint32)], np.empty(0, np.uint64), np.empty(0, np.int64)
     top = base
-    for _ in range(rounds):
-        if len(symbols) < 2 * LEAST_USES:
-            break
-        pairs = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
-        free = ~last[:-1]
-        ordered = np.sort(pairs[free])
-        edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    while True:
+        at = np.flatnonzero(alive)
+        pairs = symbols[at].astype(np.uint64) << _HALF | symbols[at + 1]
+        ordered = np.sort(pairs)
+        edge = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))[: len(ordered)]
         uses = np.diff(np.append(edge, len(ordered)))
         often = np.flatnonzero(uses >= LEAST_USES)
         if not len(often):
-            break
-        often = often[np.argsort(-uses[often], kind="stable")[:ROUND_RULES]]
-        chosen = np.sort(ordered[edge[often]])
-        # Positions whose pair is chosen: quickly by its two halves, then exactly.
-        left, right = np.zeros(top, bool), np.zeros(top, bool)
-        left[chosen >> np.uint64(32)] = True
-        right[chosen & np.uint64(0xFFFFFFFF)] = True
-        at = np.flatnonzero(free & left[symbols[:-1]] & right[symbols[1:]])
-        rule = np.searchsorted(chosen, pairs[at])
-        rule[rule == len(chosen)] = 0
-        hit = chosen[rule] == pairs[at]
+            if counted:
+                break
+            alive, counted = ~last, True
+            continue
+        counted = False
+        frequent = ordered[edge[often]]
+        maybe = _among(frequent, symbols, at, top)
+        alive[at[~maybe]] = False
+        at, pairs = at[maybe], pairs[maybe]
+        chosen = frequent
+        if len(often) > ROUND_RULES:
+            chosen = np.sort(frequent[np.argsort(-uses[often], kind="stable")[:ROUND_RULES]])
+            maybe = _among(chosen, symbols, at, top)
+            at, pairs = at[maybe], pairs[maybe]
+        rule = np.minimum(np.searchsorted(chosen, pairs), len(chosen) - 1)
+        hit = chosen[rule] == pairs
         at, rule = at[hit], rule[hit]
         # Of overlapping pairs, every second one from the left of the overlap on.
         fresh = np.concatenate([[True], at[1:] != at[:-1] + 1])
         begin = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
         even = (np.arange(len(at)) - begin) % 2 == 0
         at, rule = at[even], rule[even]
-        symbols[at] = top + rule
+        # A pair that overlaps kept from its rule in an earlier round has that rule still.
+        symbol = np.full(len(chosen), -1, np.int64)
+        if len(known):
+            place = np.minimum(np.searchsorted(known, chosen), len(known) - 1)
+            symbol = np.where(known[place] == chosen, number[place], -1)
+        new = np.flatnonzero((symbol < 0) & (np.bincount(rule, minlength=len(chosen)) > 0))
+        symbol[new] = top + np.arange(len(new))
+        rules.append(np.stack([chosen[new] >> _HALF, chosen[new] & _LOW], 1).astype(np.uint32))
+        known, number = np.concatenate([known, chosen[new]]), np.concatenate([number, symbol[new]])
+        order = np.argsort(known)
+        known, number = known[order], number[order]
+        top += len(new)
+        symbols[at] = symbol[rule]
         last[at] = last[at + 1]
+        alive[at] = ~last[at]
+        before = at[at > 0] - 1
+        alive[before] = ~last[before]
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        symbols, last = symbols[keep], last[keep]
-        rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1))
-        top += len(chosen)
+        symbols, last, alive = symbols[keep], last[keep], alive[keep]
     spans = np.zeros(len(sizes), np.int64)
     ends = np.flatnonzero(last) + 1
     spans[sizes > 0] = np.diff(ends, prepend=0)
     return symbols, spans, np.concatenate(rules).astype(np.uint32)
 
 
+def _among(pairs: np.ndarray, symbols: np.ndarray, at: np.ndarray, top: int) -> np.ndarray:
+    """Which positions may hold one of the pairs, by its two halves: quick, and never too few."""
+    left, right = np.zeros(top, bool), np.zeros(top, bool)
+    left[pairs >> _HALF] = True
+    right[pairs & _LOW] = True
+    return left[symbols[at]] & right[symbols[at + 1]]
+
+
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     """How many ids each rule stands for."""
     sizes = np.ones(base + len(rules), np.uint32)
@@ -126,13 +156,27 @@ def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: in
     return out
 
 
+def packed_bits(symbols: np.ndarray, width: int) -> bytes:
+    """Each symbol in ``width`` bits, highest first, one behind the other."""
+    bits = np.unpackbits(symbols.astype(">u4").view(np.uint8).reshape(-1, 4), axis=1)
+    return np.packbits(bits[:, 32 - width :]).tobytes()
+
+
+def unpacked_bits(raw: bytes, skip: int, count: int, width: int) -> np.ndarray:
+    """``count`` symbols that begin after ``skip`` bits."""
+    bits = np.zeros((count, 32), np.uint8)
+    flat = np.unpackbits(np.frombuffer(raw, np.uint8))[skip : skip + count * width]
+    bits[:, 32 - width :] = flat.reshape(count, width)
+    return np.packbits(bits, axis=1).view(">u4").reshape(count).astype(np.uint32)
+
+
 def file_bytes(doc_ids: list[int | None], docs: list[np.ndarray], base: int) -> list[bytes]:
     """One file, as sections."""
     sizes = np.fromiter(map(len, docs), np.int64, len(docs))
     ids = np.concatenate([*docs, np.empty(0, np.uint16)])
     symbols, spans, rules = compress(ids, sizes, base)
-    wide = base + len(rules) > 65536
-    head = np.array([len(docs), len(rules), len(symbols), 4 if wide else 2, base, len(ids)], "<u8")
+    width = (base + len(rules)).bit_length()
+    head = np.array([len(docs), len(rules), len(symbols), width, base, len(ids)], "<u8")
     return [
         MAGIC + head.tobytes(),
         np.array([0 if x is None else x for x in doc_ids], "<i8").tobytes(),
@@ -141,7 +185,7 @@ def file_bytes(doc_ids: list[int | None], docs: list[np.ndarray], base: int) ->
         spans.astype("<i8").tobytes(),
         rules.astype("<u4").tobytes(),
         expansion_lengths(rules, base).astype("<u4").tobytes(),
-        symbols.astype("<u4" if wide else "<u2").tobytes(),
+        packed_bits(symbols, width),
     ]
 
 
@@ -172,8 +216,9 @@ class TokenFile:
         self.lengths = section("<u4", rules)
 
     def _expand(self, first: int, count: int) -> np.ndarray:
-        raw = read_range(self.uri, self.symbols_at + first * self.width, count * self.width)
-        symbols = np.frombuffer(raw, f"<u{self.width}")
+        begin, end = first * self.width, (first + count) * self.width
+        raw = read_range(self.uri, self.symbols_at + begin // 8, -(-end // 8) - begin // 8)
+        symbols = unpacked_bits(raw, begin % 8, count, self.width)
         return expand(symbols, self.rules, self.lengths, self.base)
 
     def document(self, i: int) -> np.ndarray:
