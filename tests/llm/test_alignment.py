@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter
 
 import pytest
@@ -10,7 +11,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from wattline.llm import alignment
-from wattline.llm.tokens import vocabulary_path
+from wattline.llm.tokens import PieceEncoder, vocabulary_path
 
 A, B = vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model")
 
@@ -90,3 +91,12 @@ def test_null_ids_clashing_columns_and_empty_tables(spark):
     assert alignment.digest(docs.limit(0)).count() == 0
     links = alignment.token_links(alignment.aligned(docs, A, B)).collect()
     assert {r["count"] for r in links} == {2} and all(r.best for r in links)
+
+
+def test_pieces_of_cut_texts_are_those_of_the_library():
+    rng = random.Random(12)
+    texts = ["", " ", "  ", "   a", "a   ", "a\n b\t\tc \n", "x▁y ▁", "<s> </s><unk> a", "é ½ x²", "a\xa0b", "日本 語", "é"]
+    texts += ["".join(rng.choice(" \t\nabcdeTh.,<>s/é½") for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    own = PieceEncoder(B)
+    assert own.cuts
+    assert [x.tolist() for x in own.encode(texts)] == sentencepiece.SentencePieceProcessor(model_file=B).encode(texts)

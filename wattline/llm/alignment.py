@@ -25,6 +25,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +34,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wattline.llm.shared import landed
-from wattline.llm.tokens import encoder, vocabulary_path
+from wattline.llm.tokens import PieceEncoder, encoder, vocabulary_path
 from wattline.operators.lookup import lookup_join
 
-#: Texts that one call of the sentencepiece library gets.
+#: Texts that are tokenized at once.
 TEXTS_AT_ONCE = 256
 #: Bits of a linked pair that hold the id of side B.
 B_BITS = 24
@@ -80,9 +81,8 @@ class Pieces:
     """Side B: ids of a sentencepiece model, and the bytes of each."""
 
     def __init__(self, path: str):
-        from sentencepiece import SentencePieceProcessor
-
-        self.model = SentencePieceProcessor(model_file=path)
+        self.encoder = PieceEncoder(path)
+        self.model = self.encoder.model
         entries = []
         for i in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(i)
@@ -92,7 +92,7 @@ class Pieces:
         self.entries = Entries(entries)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x, np.int64) for x in self.model.encode(texts, num_threads=1)]
+        return self.encoder.encode(texts)
 
 
 @lru_cache(maxsize=2)
@@ -111,10 +111,9 @@ def slices(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray
     The ends of A, which ascend, are looked up in B's dictionary, so the common keys come out sorted.
     """
     at_b = dict(zip(ends_b, range(1, len(ends_b) + 1), strict=True))
-    found = list(map(at_b.get, ends_a))
-    both = np.array(found, np.float64)  # null where only A ends
-    common = np.flatnonzero(~np.isnan(both))
-    return common + 1, both[common].astype(np.int64)
+    both = np.fromiter(map(at_b.get, ends_a, repeat(0)), np.int64, len(ends_a))  # 0 where only A ends
+    common = np.flatnonzero(both)
+    return common + 1, both[common]
 
 
 def links_of(sizes_a: np.ndarray, sizes_b: np.ndarray, stop_a: np.ndarray, stop_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

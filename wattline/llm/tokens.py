@@ -19,6 +19,7 @@ import numpy as np
 
 from wattline.llm.words import GAP, batches, joined, span_hashes
 
+_INNER_SPACE = re.compile("[^▁]▁")
 _KNOWN_CHARS = re.compile(r"[\t\n\r -~¡-¬®-ÿ]*")
 #: Words kept per worker (some 150 MB). Beyond, rare words are encoded again in each batch.
 KEPT_WORDS = 1_000_000
@@ -85,52 +86,38 @@ def cut_words(data: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     return starts, ends
 
 
-class WordEncoder:
-    """Encodes texts to packed little-endian ids. ``lower``: the vocabulary drops case and white
-    space; otherwise it is a byte-level one that keeps both. ``plain_specials``: the strings of special
-    tokens within a text are text like any other; otherwise they are those tokens, which is what the
-    library does unless told."""
+class KnownWords:
+    """Ids of texts that are cut into words whose ids do not depend on each other: each word goes to
+    the library once, its ids are kept by its hash."""
 
-    def __init__(self, path: str, lower: bool, plain_specials: bool = False):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = plain_specials
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        # Tokens that are matched after case is dropped are looked for in texts without case.
-        self.added = [t.content for t in added if not t.normalized]
-        self.added_lower = [t.content.lower() for t in added if t.normalized]
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.lower = lower
-        wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 65536
-        self.dtype = np.dtype("<u4" if wide else "<u2")
-        # How byte-level vocabularies write bytes as characters: visible Latin-1 stands for itself.
-        seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [b for b in range(256) if b not in seen]
-        self.letters = {b: 256 + i for i, b in enumerate(rest) if b != GAP}
-        self.model = self.tokenizer.model
+    def __init__(self, dtype: np.dtype):
+        self.dtype = dtype
         self.place: dict[int, int] = {}
         self.ids, self.size = np.empty(1 << 20, self.dtype), 0
         self.spans = np.zeros((1 << 18, 2), np.int64)  # begin and length by place
 
-    def _holds_added(self, text: str) -> bool:
-        if self.added_lower and any(a in text.lower() for a in self.added_lower):
-            return True
-        return any(a in text for a in self.added)
+    def as_bytes(self, text: str) -> bytes:
+        """A text that may be cut, in Latin-1, as its words are told apart."""
+        raise NotImplementedError
 
-    def _whole(self, text: str) -> np.ndarray:
-        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        return np.array(found[0].ids, self.dtype)
+    def cut(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of each word of such texts with a gap after each."""
+        raise NotImplementedError
+
+    def ids_of_words(self, words: list[bytes]) -> tuple[list[int], list[int]]:
+        """The ids of all words, and how many each has."""
+        raise NotImplementedError
+
+    def is_known(self, text: str) -> bool:
+        """Whether the text may be cut."""
+        raise NotImplementedError
+
+    def whole(self, text: str) -> np.ndarray:
+        """The ids of a text from the library itself."""
+        raise NotImplementedError
 
     def _add(self, hashes: list[int], words: list[bytes]) -> None:
-        letters = b"\0".join(words).decode("latin-1").encode().decode("latin-1")
-        tokenize, ids, sizes = self.model.tokenize, [], []
-        for word in letters.translate(self.letters).split("\0") if words else []:
-            tokens = tokenize(word)
-            sizes.append(len(tokens))
-            ids += [t.id for t in tokens]
+        ids, sizes = self.ids_of_words(words) if words else ([], [])
         flat, sizes = np.array(ids, self.dtype), np.array(sizes, np.int64)
         while self.size + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
@@ -144,10 +131,8 @@ class WordEncoder:
         self.place.update(zip(hashes, range(first, first + len(sizes)), strict=True))
 
     def _batch(self, texts: list[bytes]) -> list[np.ndarray]:
-        if self.lower:
-            texts = [t.translate(_LOWER) for t in texts]
         data, begins = joined(texts)
-        starts, ends = cut_words(data, self.lower)
+        starts, ends = self.cut(data)
         words, first, which = np.unique(
             span_hashes(data, starts, ends), return_index=True, return_inverse=True
         )
@@ -178,16 +163,107 @@ class WordEncoder:
         for part in batches([len(t) for t in texts]):
             known = []
             for i in range(part.start, part.stop):
-                if _KNOWN_CHARS.fullmatch(texts[i]) and not self._holds_added(texts[i]):
+                if self.is_known(texts[i]):
                     known.append(i)
                 else:
-                    out[i] = self._whole(texts[i])
-            ids = self._batch([texts[i].encode("latin-1") for i in known]) if known else []
+                    out[i] = self.whole(texts[i])
+            ids = self._batch([self.as_bytes(texts[i]) for i in known]) if known else []
             for i, x in zip(known, ids, strict=True):
                 out[i] = x
         return out
 
 
+class WordEncoder(KnownWords):
+    """Encodes texts to packed little-endian ids. ``lower``: the vocabulary drops case and white
+    space; otherwise it is a byte-level one that keeps both. ``plain_specials``: the strings of special
+    tokens within a text are text like any other; otherwise they are those tokens, which is what the
+    library does unless told."""
+
+    def __init__(self, path: str, lower: bool, plain_specials: bool = False):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain_specials
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        # Tokens that are matched after case is dropped are looked for in texts without case.
+        self.added = [t.content for t in added if not t.normalized]
+        self.added_lower = [t.content.lower() for t in added if t.normalized]
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.lower = lower
+        wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 65536
+        super().__init__(np.dtype("<u4" if wide else "<u2"))
+        # How byte-level vocabularies write bytes as characters: visible Latin-1 stands for itself.
+        seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in seen]
+        self.letters = {b: 256 + i for i, b in enumerate(rest) if b != GAP}
+        self.model = self.tokenizer.model
+
+    def is_known(self, text: str) -> bool:
+        if self.added_lower and any(a in text.lower() for a in self.added_lower):
+            return False
+        return bool(_KNOWN_CHARS.fullmatch(text)) and not any(a in text for a in self.added)
+
+    def whole(self, text: str) -> np.ndarray:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found[0].ids, self.dtype)
+
+    def as_bytes(self, text: str) -> bytes:
+        data = text.encode("latin-1")
+        return data.translate(_LOWER) if self.lower else data
+
+    def cut(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return cut_words(data, self.lower)
+
+    def ids_of_words(self, words: list[bytes]) -> tuple[list[int], list[int]]:
+        letters = b"\0".join(words).decode("latin-1").encode().decode("latin-1")
+        tokenize, ids, sizes = self.model.tokenize, [], []
+        for word in letters.translate(self.letters).split("\0"):
+            tokens = tokenize(word)
+            sizes.append(len(tokens))
+            ids += [t.id for t in tokens]
+        return ids, sizes
+
+
+class PieceEncoder(KnownWords):
+    """Encodes texts with a sentencepiece BPE model, which puts a space before each. Where no piece has
+    a space after another character, nothing is joined across such a place, and texts are cut there."""
+
+    def __init__(self, path: str):
+        from sentencepiece import SentencePieceProcessor
+
+        super().__init__(np.dtype("<u4"))
+        self.model = SentencePieceProcessor(model_file=path)
+        pieces = (self.model.id_to_piece(i) for i in range(self.model.get_piece_size()))
+        chars = "".join(c for c in map(chr, range(256)) if c != " " and _KNOWN_CHARS.fullmatch(c))
+        self.cuts = not any(_INNER_SPACE.search(p) for p in pieces) and all(
+            self.model.normalize(t) == "▁" + t.replace(" ", "▁") for t in (chars, "a  b", " a ")
+        )
+        self.space = self.model.piece_to_id("▁")
+
+    def is_known(self, text: str) -> bool:
+        return self.cuts and bool(text) and bool(_KNOWN_CHARS.fullmatch(text))
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode(text), self.dtype)
+
+    def as_bytes(self, text: str) -> bytes:
+        return b" " + text.encode("latin-1")
+
+    def cut(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        space = data == 32
+        space[1:] &= ~space[:-1]  # of several spaces the first
+        starts, edges = np.flatnonzero(space), np.flatnonzero(space | (data == GAP))
+        return starts, edges[np.searchsorted(edges, starts, side="right")]
+
+    def ids_of_words(self, words: list[bytes]) -> tuple[list[int], list[int]]:
+        # A word begins with its space, which the model adds; it gives nothing for that space alone.
+        found = self.model.encode([w[1:].decode("latin-1") for w in words], num_threads=1)
+        found = [ids or [self.space] for ids in found]
+        return [i for ids in found for i in ids], [len(ids) for ids in found]
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str, lower: bool, plain_specials: bool = False) -> WordEncoder:
     """The encoder of this worker."""
