@@ -1,25 +1,29 @@
 """Quality classification by co-training of two views.
 
 One classifier sees the text (shares of characters and words), the other the page's metadata
-(language, source, length). Both start from labelled documents. In each round each hands the
-documents of a pool that it is sure of to the other as pseudo-labels. Both are then calibrated on
+(language, source, length). Both start from labelled documents. In each round each hands those of all
+unlabelled documents that it is sure of to the other as pseudo-labels. Both are then calibrated on
 labelled rows that were held out, and their log-odds are combined to score every document.
 
-The fit works on at most ``label_rows`` labelled and ``pool_rows`` unlabelled documents, chosen by the
-hash of their ids; they are some 40 numbers each on the driver. Everything else covers all documents
-in one pass without a shuffle.
+At most ``label_rows`` labelled documents, chosen by the hash of their ids, are gathered: some 80
+numbers each on the driver. Unlabelled documents are not sampled. Their features are written once, 16
+numbers a document, and each Newton step reads them all: tasks sum gradient and curvature over the
+documents the other view is sure of, and the sums, whose number depends on the features alone, are
+added up in Spark.
 
 Defined results: a null or empty text has features of zero; null metadata is a category of its own;
 labels that are null or name no document count for nothing, and of contradicting labels of one
 document the worse counts; without labels of both kinds nothing can be learned: every probability is
-then 1 and ``keep`` is true; repeated rows score alike; null ids are scored, but never train.
+then 1 and ``keep`` is true; repeated rows score alike, and each lends what it is sure of; null ids are
+scored, but never train.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.llm.shared import free_name, hashed_order
+from wattline.llm.shared import free_name, hashed_order, landed
 from wattline.llm.words import batches, plain_words, span_hashes
 
-LABEL_ROWS, POOL_ROWS = 20_000, 20_000
+LABEL_ROWS = 20_000
 ROUNDS, SURE, KEEP_FROM = 3, 0.98, 0.5
 HELD_OUT = 4  # one labelled document in so many calibrates
 METADATA_SLOTS = 64
+#: Newton steps of a round, each over all unlabelled documents, and the step that is small enough.
+STEPS, NEAR = 6, 0.01
 
 _UPPER, _DIGIT, _MARK, _STOP, _LETTER = (np.zeros(256, bool) for _ in range(5))
 _UPPER[65:91] = True
@@ -97,42 +103,72 @@ def text_features(texts: list[str | None]) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros((0, len(TEXT_FEATURES)))
 
 
-def metadata_features(lang: list, source: list, n_chars: list) -> np.ndarray:
-    """(rows, features): hashed language and source, and the stated length."""
-    out = np.zeros((len(lang), METADATA_SLOTS + 3))
-    for i, (a, b, n) in enumerate(zip(lang, source, n_chars, strict=True)):
-        out[i, zlib.crc32(f"lang={a}".encode()) % METADATA_SLOTS] += 1
-        out[i, zlib.crc32(f"source={b}".encode()) % METADATA_SLOTS] += 1
-        size = np.log1p(max(n or 0, 0)) / 10
-        out[i, METADATA_SLOTS:] = size, size * size, n is None
+def metadata_numbers(lang: list, source: list, n_chars: list) -> np.ndarray:
+    """(rows, 4): slots of language and source, size from the stated length, and whether it is null."""
+    slot = lru_cache(maxsize=65_536)(lambda t: zlib.crc32(t.encode()) % METADATA_SLOTS)
+    rows = [
+        (slot(f"lang={a}"), slot(f"source={b}"), max(n or 0, 0), n is None)
+        for a, b, n in zip(lang, source, n_chars, strict=True)
+    ]
+    out = np.array(rows, np.float64).reshape(-1, 4)
+    out[:, 2] = np.log1p(out[:, 2]) / 10
+    return out
+
+
+def metadata_features(numbers: np.ndarray) -> np.ndarray:
+    """(rows, features): a mark in each slot, and the size as a curve."""
+    out, row = np.zeros((len(numbers), METADATA_SLOTS + 3)), np.arange(len(numbers))
+    for c in (0, 1):
+        out[row, numbers[:, c].astype(np.int64)] += 1
+    size = numbers[:, 2]
+    out[:, METADATA_SLOTS], out[:, METADATA_SLOTS + 1], out[:, METADATA_SLOTS + 2] = size, size * size, numbers[:, 3]
     return out
 
 
+def _probability(odds: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+
+
 @dataclass
 class Logistic:
-    """Logistic regression with a small ridge, fitted by Newton steps."""
+    """Logistic regression with a small ridge, fitted by Newton steps on sums over rows."""
 
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    mean: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    spread: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    weights: np.ndarray
+    mean: np.ndarray
+    spread: np.ndarray
 
-    def fit(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25) -> Logistic:
-        self.mean, self.spread = x.mean(0), x.std(0) + 1e-6
-        z = np.concatenate([np.ones((len(x), 1)), (x - self.mean) / self.spread], 1)
-        w, penalty = np.zeros(z.shape[1]), np.full(z.shape[1], ridge)
-        penalty[0] = 1e-6
+    @classmethod
+    def fitted(cls, x: np.ndarray, y: np.ndarray, steps: int = 25) -> Logistic:
+        """Fitted to rows at hand, whose means and spreads scale the features from then on."""
+        out = cls(np.zeros(x.shape[1] + 1), x.mean(0), x.std(0) + 1e-6)
         for _ in range(steps):
-            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-            curve = (z * (p * (1 - p) + 1e-9)[:, None]).T @ z + np.diag(penalty)
-            step = np.linalg.solve(curve, z.T @ (y - p) - penalty * w)
-            w = w + np.clip(step, -5, 5)
-            if np.abs(step).max() < 1e-6:
+            if out.step(out.sums(x, y)) < 1e-6:
                 break
-        self.weights = w
-        return self
+        return out
+
+    def _scaled(self, x: np.ndarray) -> np.ndarray:
+        # A feature that hardly varies among labelled rows must not outweigh all others elsewhere.
+        return np.concatenate([np.ones((len(x), 1)), np.clip((x - self.mean) / self.spread, -20, 20)], 1)
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
-        return self.weights[0] + ((x - self.mean) / self.spread) @ self.weights[1:]
+        return self._scaled(x) @ self.weights
+
+    def sums(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Gradient and curvature over rows; those of parts of the rows add up."""
+        z = self._scaled(x)
+        p = _probability(z @ self.weights)
+        curve = (z * (p * (1 - p) + 1e-9)[:, None]).T @ z
+        return np.concatenate([(y - p) @ z, curve.ravel()])
+
+    def step(self, sums: np.ndarray, ridge: float = 1.0) -> float:
+        """Move by a Newton step; gives how far."""
+        n = len(self.weights)
+        penalty = np.full(n, ridge)
+        penalty[0] = 1e-6
+        curve = sums[n:].reshape(n, n) + np.diag(penalty)
+        move = np.clip(np.linalg.solve(curve, sums[:n] - penalty * self.weights), -5, 5)
+        self.weights = self.weights + move
+        return float(np.abs(move).max())
 
 
 @dataclass
@@ -151,107 +187,116 @@ class QualityModel:
             scale.log_odds(view.log_odds(x)[:, None])
             for view, scale, x in zip(self.views, self.scales, (text, meta), strict=True)
         ]
-        as_p = lambda o: 1 / (1 + np.exp(-np.clip(o, -30, 30)))
-        return as_p(odds[0]), as_p(odds[1]), as_p(odds[0] + odds[1] - self.prior)
+        return _probability(odds[0]), _probability(odds[1]), _probability(odds[0] + odds[1] - self.prior)
 
 
-def co_train(
-    text: np.ndarray, meta: np.ndarray, label: np.ndarray, held: np.ndarray, rounds: int, sure: float
-) -> QualityModel:
-    """``label`` is 1, 0 or -1 (unlabelled); ``held`` marks labelled rows that only calibrate."""
-    known = label >= 0
-    good = float(label[known].mean()) if known.any() else 0.5
-    if good in (0.0, 1.0) or not known.any():
-        return QualityModel(None, None, 0.0)
-    prior = float(np.log(good / (1 - good)))
-    train = known & ~held
-    if len(set(label[train])) < 2:
-        train = known
-    views = [x for x in (text, meta)]
-    lent = [np.full(len(label), -1), np.full(len(label), -1)]
-    models = [Logistic().fit(x[train], label[train]) for x in views]
-    for _ in range(rounds):
-        # What each view is sure of, as labels for the other.
-        for giver, taker in ((0, 1), (1, 0)):
-            p = 1 / (1 + np.exp(-np.clip(models[giver].log_odds(views[giver]), -30, 30)))
-            lent[taker] = np.where(p >= sure, 1, np.where(p <= 1 - sure, 0, -1))
-        for i, x in enumerate(views):
-            taken = ~known & (lent[i] >= 0)
-            use = train | taken
-            models[i] = Logistic().fit(x[use], np.where(taken, lent[i], label)[use])
-    test = held & known if len(set(label[held & known])) == 2 else known
-    scales = [
-        Logistic().fit(m.log_odds(x[test])[:, None], label[test])
-        for m, x in zip(models, views, strict=True)
-    ]
-    return QualityModel(tuple(models), tuple(scales), prior)
+def lent_sums(features: DataFrame, givers: list[Logistic], takers: list[Logistic], sure: float) -> list[np.ndarray]:
+    """Sums of each taker over the rows (t, m) that the other view's giver is sure of."""
+    sizes = [len(v.weights) * (len(v.weights) + 1) for v in takers]
+
+    def add_up(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = [np.zeros(n) for n in sizes]
+        for batch in found:
+            views = _stored(batch, "t"), metadata_features(_stored(batch, "m"))
+            for i in (0, 1):
+                p = _probability(givers[1 - i].log_odds(views[1 - i]))
+                taken = (p >= sure) | (p <= 1 - sure)
+                total[i] += takers[i].sums(views[i][taken], (p[taken] >= sure).astype(float))
+        flat = np.concatenate(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat)], names=["i", "v"])
+
+    # As many rows as there are sums, whatever the number of documents.
+    rows = features.select("t", "m").mapInArrow(add_up, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
+    flat = np.zeros(sum(sizes))
+    for r in rows:
+        flat[r["i"]] = r["v"]
+    return [flat[: sizes[0]], flat[sizes[0] :]]
+
+
+def _stored(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    width = len(TEXT_FEATURES) if name == "t" else 4
+    return batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
 _COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+def _numbers(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     column = lambda c: batch.column(c).to_pylist()
     return (
         text_features(column("text")),
-        metadata_features(column("lang"), column("source"), column("n_chars")),
+        metadata_numbers(column("lang"), column("source"), column("n_chars")),
     )
 
 
+def described(docs: DataFrame) -> DataFrame:
+    """doc_id, and the numbers of the text (t) and of the metadata (m)."""
+
+    def describe(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id")] + [pa.array(list(x), pa.list_(pa.float64())) for x in _numbers(part)],
+                    names=["doc_id", "t", "m"],
+                )
+
+    numbers = T.ArrayType(T.DoubleType())
+    kinds = T.StructType([docs.schema["doc_id"], T.StructField("t", numbers), T.StructField("m", numbers)])
+    return docs.select(*_COLUMNS).mapInArrow(describe, kinds)
+
+
 def train_quality(
     docs: DataFrame,
     labels: DataFrame,
     label_rows: int = LABEL_ROWS,
-    pool_rows: int = POOL_ROWS,
     rounds: int = ROUNDS,
     sure: float = SURE,
 ) -> QualityModel:
-    """Fit on bounded samples of (doc_id, text, lang, source, n_chars) and (doc_id, quality)."""
+    """Fit on (doc_id, text, lang, source, n_chars): on a bounded sample of those that have a
+    (doc_id, quality) label, and on all that have none."""
+    nothing = QualityModel(None, None, 0.0)
     known = (
         labels.filter("doc_id is not null and quality in (0, 1)")
         .groupBy("doc_id")
         .agg(F.min("quality").cast("int").alias("label"))
     )
-    ids = docs.select("doc_id").filter("doc_id is not null")
+    features = landed(described(docs.filter("doc_id is not null")), "quality-features")
     chosen = (
-        known.join(ids, "doc_id", "left_semi")
+        known.join(features.select("doc_id"), "doc_id", "left_semi")
         .orderBy(hashed_order("doc_id"), "doc_id")
         .limit(label_rows)
-        .collect()
-    )
-    pool = (
-        ids.join(known, "doc_id", "left_anti")
-        .orderBy(hashed_order("doc_id"), "doc_id")
-        .limit(pool_rows)
-        .collect()
-    )
-    rows = [(r["doc_id"], r["label"]) for r in chosen] + [(r["doc_id"], -1) for r in pool]
-    if not chosen:
-        return QualityModel(None, None, 0.0)
-    wanted = docs.sparkSession.createDataFrame(rows, "doc_id long, label int")
-
-    def describe(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("label")]
-                    + [pa.array(list(x), pa.list_(pa.float64())) for x in _features(part)],
-                    names=["doc_id", "label", "t", "m"],
-                )
-
-    # At most label_rows + pool_rows rows of two numbers are sent to every task.
-    sample = (
-        docs.select(*_COLUMNS)
-        .join(F.broadcast(wanted), "doc_id")
-        .mapInArrow(describe, "doc_id long, label int, t array<double>, m array<double>")
-        .collect()
     )
-    sample = sorted({r["doc_id"]: r for r in sample}.items())
-    label = np.array([r["label"] for _, r in sample])
-    held = np.array([zlib.crc32(str(k).encode()) % HELD_OUT == 0 for k, _ in sample])
-    text, meta = (np.array([r[c] for _, r in sample]) for c in "tm")
-    return co_train(text, meta, label, held, rounds, sure)
+    # Repeated rows of a labelled id: one of them trains, that with the least numbers.
+    sample = chosen.join(features, "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct("t", "m")).alias("x"))
+    sample = sorted(sample.collect(), key=lambda r: r["doc_id"])
+    label = np.array([r["label"] for r in sample], np.float64)
+    if len(set(label)) < 2:
+        return nothing
+    views = [
+        np.array([r["x"]["t"] for r in sample]),
+        metadata_features(np.array([r["x"]["m"] for r in sample])),
+    ]
+    held = np.array([zlib.crc32(str(r["doc_id"]).encode()) % HELD_OUT == 0 for r in sample])
+    train = ~held if len(set(label[~held])) == 2 else np.ones(len(label), bool)
+    test = held if len(set(label[held])) == 2 else np.ones(len(label), bool)
+    unlabelled = landed(features.join(known, "doc_id", "left_anti").select("t", "m"), "quality-unlabelled")
+    models = [Logistic.fitted(x[train], label[train]) for x in views]
+    for _ in range(rounds):
+        givers = [replace(m) for m in models]
+        for _ in range(STEPS):
+            lent = lent_sums(unlabelled, givers, models, sure)
+            moves = [
+                m.step(m.sums(x[train], label[train]) + more)
+                for m, x, more in zip(models, views, lent, strict=True)
+            ]
+            if max(moves) < NEAR:
+                break
+    scales = [
+        Logistic.fitted(m.log_odds(x[test])[:, None], label[test]) for m, x in zip(models, views, strict=True)
+    ]
+    good = float(label.mean())
+    return QualityModel(tuple(models), tuple(scales), float(np.log(good / (1 - good))))
 
 
 def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
@@ -266,7 +311,8 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
         for batch in found:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                p_text, p_meta, both = model.score(*_features(part))
+                text, meta = _numbers(part)
+                p_text, p_meta, both = model.score(text, metadata_features(meta))
                 new = [pa.array(x) for x in (p_text, p_meta, both, both >= KEEP_FROM)]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, *new], names=[*part.schema.names, *added]
