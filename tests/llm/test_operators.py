@@ -462,3 +462,24 @@ def test_pipeline_keeps_each_stage_s_promise(spark, sf, nothing, docs):
         assert stage(spark, nothing, sf).count() == 0
         stage(spark, docs, sf).count()
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, sf).collect()} == ids
+
+
+def test_co_training_adds_up_over_all_unlabelled_rows(spark):
+    rng = np.random.default_rng(5)
+    docs = spark.createDataFrame(
+        [(i, f"{'GOOD Text 12' if i % 2 else 'bad $$ ## @'} " * (1 + i % 7), "en", f"s{i % 3}", i) for i in range(3000)],
+        "doc_id long, text string, lang string, source string, n_chars long",
+    ).repartition(7)
+    features = quality.described(docs)
+    rows = features.collect()
+    views = [np.array([r["t"] for r in rows]), quality.metadata_features(np.array([r["m"] for r in rows]))]
+    label = (views[0][:, 0] > np.median(views[0][:, 0])).astype(float)
+    models = [quality.Logistic.fitted(x[:200], label[:200]) for x in views]
+    givers = [quality.Logistic(m.weights + rng.normal(0, 0.1, len(m.weights)), m.mean, m.spread) for m in models]
+    for i, got in enumerate(quality.lent_sums(features, givers, models, 0.6)):
+        odds = np.clip(givers[1 - i].log_odds(views[1 - i]), -30, 30)
+        p = 1 / (1 + np.exp(-odds))
+        sure = (p >= 0.6) | (p <= 0.4)
+        assert np.allclose(got, models[i].sums(views[i][sure], (p[sure] >= 0.6).astype(float)), atol=1e-6)
+    empty = quality.lent_sums(features.limit(0), givers, models, 0.6)
+    assert not any(x.any() for x in empty)
