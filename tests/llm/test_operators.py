@@ -8,11 +8,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from wattline.llm import (
-    hilbert, minhash, mixing, neighbours, packing, quality, queries, sharding, token_files, tokens,
+    hilbert, minhash, mixing, neighbours, packing, quality, queries, shared, sharding, token_files, tokens,
     topk, urls, warc,
 )
 from wattline.workspace import new_folder
@@ -390,6 +392,47 @@ def test_pipeline_sequences_follow_the_target_weights(spark, tmp_path):
     assert seen == len(docs)
 
 
+@pytest.mark.parametrize("mixes", [True, False])
+def test_packing_follows_the_order_that_the_mixture_stored(spark, tmp_path, mixes):
+    """Sequences have the target shares from the start; without the mixture they do not."""
+    import corpus_pipeline
+
+    sizes = {"a": 6000, "b": 1500, "c": 375}
+    names = [s for s, n in sizes.items() for _ in range(n)]
+    frame = spark.createDataFrame(
+        [(i, f"{'w ' * (10 + i % 10)}", "en", s) for i, s in enumerate(names)],
+        "doc_id long, text string, lang string, source string",
+    ).repartition(3, "source")
+    stages = dict(corpus_pipeline.STAGES)
+    frame.write.parquet(f"{tmp_path}/kept")
+    docs = spark.read.parquet(f"{tmp_path}/kept")
+    if mixes:
+        stages["mixture"](spark, docs, None).write.parquet(f"{tmp_path}/mixed")
+        docs = spark.read.parquet(f"{tmp_path}/mixed")
+    packed = stages["packing"](spark, docs, None)
+    assert packed.count() == len(names)
+    found = sorted((r["sequence_id"], r["doc_id"]) for r in packed.collect())
+    assert {k for k, _ in found} == set(range(found[-1][0] + 1))
+    first = [names[i] for _, i in found][:2048]
+    share = {s: n**0.5 for s, n in sizes.items()}
+    even = all(abs(first.count(s) / len(first) - w / sum(share.values())) < 0.05 for s, w in share.items())
+    assert even is mixes
+
+
+def test_stored_position_is_the_order_of_writing(spark, tmp_path):
+    rows = spark.range(5000).withColumn("_metadata", F.xxhash64("id")).repartition(4)
+    ordered = rows.repartitionByRange(6, "_metadata").sortWithinPartitions("_metadata")
+    ordered.write.option("maxRecordsPerFile", 300).parquet(f"{tmp_path}/rows")
+    stored = spark.read.parquet(f"{tmp_path}/rows")
+    found = stored.select("_metadata", shared.stored_position(stored).alias("at")).orderBy("at").collect()
+    keys = [r["_metadata"] for r in found]
+    assert keys == sorted(keys) and len({r["at"] for r in found}) == 5000
+    pq.write_table(pa.table({"id": list(range(9))}), f"{tmp_path}/named.parquet")
+    other = spark.read.parquet(f"{tmp_path}/named.parquet")
+    assert len({r[0] for r in other.select(shared.stored_position(other)).collect()}) == 9
+    assert shared.stored_position(rows) is None and shared.stored_position(stored.repartition(3)) is None
+
+
 def test_pipeline_decides_repeated_ids_by_row(spark):
     """The unique text of a repeated id stays, its copy of an earlier document goes, wherever they lie."""
     import corpus_pipeline

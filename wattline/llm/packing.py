@@ -31,6 +31,8 @@ from wattline.llm.tokens import encoder, ids_crc32
 RANK_BUCKETS = 512
 #: Positions that are packed together where documents have an order.
 WINDOW_ROWS = 1024
+#: Windows whose sequences are counted together first: one row for some four million documents.
+RANGE_WINDOWS = 4096
 ROWS_AT_ONCE = 256
 
 
@@ -162,9 +164,9 @@ def pack(pieces: DataFrame, capacity: int, keys: tuple[str, ...] = ("doc_id", "p
 def pack_in_order(pieces: DataFrame, capacity: int, window_rows: int = WINDOW_ROWS) -> DataFrame:
     """``pieces`` with a ``position`` and the ``sequence_id`` and ``offset`` of each, packed by windows
     of positions. Within a window the pieces of a length take their places by position."""
-    sequence_id, offset, window_, number_, length_, from_, to_, first_, size_, base_, rank_ = free_names(
+    sequence_id, offset, window_, number_, length_, from_, to_, first_, size_, base_, rank_, range_ = free_names(
         pieces.columns, "sequence_id", "offset", "window", "number", "of_length", "from", "to", "first", "size",
-        "base", "rank",
+        "base", "rank", "range",
     )
     spread = pieces.withColumn(window_, F.expr(f"position div {window_rows}"))
 
@@ -181,10 +183,14 @@ def pack_in_order(pieces: DataFrame, capacity: int, window_rows: int = WINDOW_RO
     kinds = "number long, length long, start long, end long, sequence long, offset long, size long"
     slots = landed(each.mapInArrow(plan, kinds), "window-plans")
     slots = slots.toDF(number_, length_, from_, to_, first_, offset, size_)
-    # A row per window: how many sequences the windows before it have.
-    before = Window.orderBy(number_).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = slots.select(number_, size_).distinct()
-    bases = sizes.select(number_, F.coalesce(F.sum(size_).over(before), F.lit(0)).alias(base_))
+    # How many sequences the windows before each have: in earlier ranges of windows, and in its own.
+    sizes = slots.select(number_, size_, F.expr(f"{number_} div {RANGE_WINDOWS}").alias(range_)).distinct()
+    earlier = Window.orderBy(range_).rowsBetween(Window.unboundedPreceding, -1)
+    own = Window.partitionBy(range_).orderBy(number_).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sizes.groupBy(range_).agg(F.sum(size_).alias(size_))
+    starts = sums.select(range_, F.coalesce(F.sum(size_).over(earlier), F.lit(0)).alias(from_))
+    within_range = sizes.select(number_, range_, F.coalesce(F.sum(size_).over(own), F.lit(0)).alias(base_))
+    bases = within_range.join(starts, range_).select(number_, (F.col(base_) + F.col(from_)).alias(base_))
     within = Window.partitionBy(window_, "length").orderBy("position", "piece")
     return (
         spread.withColumn(rank_, F.row_number().over(within) - 1)

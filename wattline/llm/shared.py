@@ -8,6 +8,7 @@ import uuid
 from pathlib import Path
 
 from pyarrow import fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +48,29 @@ def free_names(taken: list[str], *wishes: str) -> list[str]:
     return out
 
 
+def stored_position(rows: DataFrame) -> Column | None:
+    """Where each row of a table that Spark has written lies: by task, file of the task, and row.
+
+    It ascends in the order in which a sorted table was written, with gaps between files, whose starts
+    are multiples of 2**31. Files with names of another kind come in any order among each other. None
+    for rows that are not read straight from files.
+    """
+    # Spark resolves file columns through joins and repartitioning too, where they tell no order.
+    if not rows._jdf.queryExecution().analyzed().children().isEmpty():
+        return None
+    try:
+        where = rows.metadataColumn("_metadata")
+        rows.select(where["row_index"])
+    except AnalysisException:
+        return None
+    name = where["file_name"]
+    task, of_task = (
+        F.regexp_extract(name, r"^part-(\d{1,6})-.*?(?:-c(\d{1,4}))?\.", i).try_cast("long") for i in (1, 2)
+    )
+    file = F.coalesce(task * 4096 + F.coalesce(of_task, F.lit(0)), F.pmod(F.xxhash64(name), F.lit(1 << 32)))
+    return file * (1 << 31) + where["row_index"]
+
+
 def hashed_order(*cols: str | Column) -> Column:
     """A fixed pseudo-random order of rows."""
     return F.xxhash64(F.lit(7919), *cols)
