@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.llm import minhash, mixing, packing, quality
-from wattline.llm.shared import free_name, landed, ship_package
+from wattline.llm.shared import free_name, landed, ship_package, stored_position
 
 #: Share of unevenness between sources that the mixture takes away.
 EVENNESS = 0.5
@@ -46,15 +46,19 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their mixed ``position`` and their places in sequences.
+    """Pieces of all documents with their ``position`` and their places in sequences.
 
-    Stored rows have no order. The mixed position is a function of the documents' ids and sources, so
-    it is taken again here, and sequences follow it.
+    The position is where the stage before has stored a document, so sequences follow the mixed order.
+    Rows that do not come straight from stored files have no order; they are mixed here.
     """
     ship_package(spark)
     position = free_name(docs.columns, "position")
-    mixed = mixing.with_position(docs, position, evenness=EVENNESS)
-    return packing.digest_in_order(mixed, position)
+    stored = stored_position(docs)
+    if stored is None:
+        placed = mixing.with_position(docs, position, evenness=EVENNESS)
+    else:
+        placed = docs.withColumn(position, stored)
+    return packing.digest_in_order(placed, position)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
