@@ -299,6 +299,16 @@ def booked_windows(
     )
 
 
+def spread(windows: DataFrame) -> DataFrame:
+    """Booking windows over all shuffle partitions, before their days and hours are generated.
+
+    Windows are few and small, so adaptive execution puts them into one or a few partitions, whose
+    tasks would then make every hour. It keeps a number of partitions that is given.
+    """
+    n = int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return windows.repartition(n, "order_id", "space_id")
+
+
 def on_extension(date: Column, period: Period) -> Column:
     """Whether the bitmap of a booking window has the bit of a date."""
     position = F.datediff(date, period.first)

@@ -15,7 +15,7 @@ from wattline.functions import scalars as sc
 from wattline.functions import timecols as tc
 from wattline.operators import bookings as bk
 from wattline.operators import enrich, gapfill, history, reduce, targets
-from wattline.operators.lookup import settle
+from wattline.operators.lookup import BROADCAST_BYTES, settle
 from wattline.plans import jobs
 from wattline.schemas import READING, TRIPLE
 from wattline.sources import readers, registry, sample_views as v, writers
@@ -480,9 +480,14 @@ def extension_day_count(spark, sf):
     return bk.extension_totals(_days_on_extension(spark, sf))
 
 
+def _hours_with_sums(spark: SparkSession, sf: str) -> DataFrame:
+    sums = settle(targets.hourly_sums(v.space_hourly(spark, sf, SHIFT_DAYS)))
+    return targets.hours_with_readings(_hours(spark, sf), sums, BROADCAST_BYTES)
+
+
 @query("target_day_sum")
 def target_day_sum(spark, sf):
-    return targets.day_sums(_hours_with_readings(spark, sf))
+    return targets.day_sums(_hours_with_sums(spark, sf))
 
 
 @query("target_period_sum")

@@ -158,7 +158,7 @@ def booking_hours(
     windows = bk.booked_windows(
         bookings, history, extensions, users, spaces, period, order_id, repeat_start
     )
-    hours = bk.booking_hours(bk.days_of(windows, period))
+    hours = bk.booking_hours(bk.days_of(bk.spread(windows), period))
     return hours.orderBy(F.desc("date_time_key"), "order_id") if newest_first else hours
 
 
