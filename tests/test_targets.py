@@ -32,7 +32,7 @@ def tables(spark, tmp_path):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("name", ["target_day_sum"])
+@pytest.mark.parametrize("name", ["target_day_sum", "target_period_sum"])
 def test_an_hour_meets_one_row_per_device_type(spark, tables, monkeypatch, name):
     """Devices 0 and 100 are of one type in one space: their readings are summed before the join."""
     seen = []

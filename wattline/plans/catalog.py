@@ -492,7 +492,7 @@ def target_day_sum(spark, sf):
 
 @query("target_period_sum")
 def target_period_sum(spark, sf):
-    met = _hours_with_readings(spark, sf)
+    met = _hours_with_sums(spark, sf)
     return targets.period_sums(targets.day_sums(met))
 
 
