@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -96,3 +97,10 @@ def test_hours_are_generated_in_all_partitions(spark):
     made = hours.groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in made) == 200 * 31 * 24
     assert len(made) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_readings_in_small_files_are_not_broadcast(spark, tables):
+    df = catalog.QUERIES["hours_with_readings"](spark, tables)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[space_id#\d+L, date_time_key#\d+\]", text)
+    assert df.filter("zone_device_id is not null").count() == 9 and df.count() == 31 * 24 + 6
