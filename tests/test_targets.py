@@ -104,3 +104,30 @@ def test_readings_in_small_files_are_not_broadcast(spark, tables):
     text = df._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"SortMergeJoin \[space_id#\d+L, date_time_key#\d+\]", text)
     assert df.filter("zone_device_id is not null").count() == 9 and df.count() == 31 * 24 + 6
+
+
+def test_times_are_not_cast_for_every_pair(spark, tables):
+    """What is cast after the join is cast for each of its rows."""
+    df = catalog.QUERIES["hours_with_readings"](spark, tables)
+    above, join, _ = df._jdf.queryExecution().executedPlan().toString().partition("SortMergeJoin")
+    assert join and "cast(" not in above
+    assert dict(df.dtypes)["date_time_key"] == "timestamp_ntz"
+    read = df.filter("zone_device_id is not null").select("date_time_key").distinct().collect()
+    assert sorted(r[0] for r in read) == [FIRST + timedelta(hours=h) for h in (0, 1, 24)]
+
+
+def test_hours_meet_readings_in_several_tasks_for_each_core(spark):
+    """Little is shuffled and much comes out, also when the hours are few; null keys meet nothing."""
+    at = lambda h: FIRST + timedelta(hours=h)
+    hours = [(o, s, at(h)) for o in range(3) for s in (1, 2, 3, None) for h in range(200)] + [(7, 1, None), (7, 1, at(0)), (7, 1, at(0))]
+    readings = [(s, at(h), d) for s in (1, 2, None, 9) for h in range(0, 200, 2) for d in (5, 5, 6)] + [(1, None, 8)]
+    met = targets.hours_with_readings(
+        spark.createDataFrame(hours, "order_id long, space_id long, date_time_key timestamp"),
+        spark.createDataFrame(readings, "space_id long, date_time_key timestamp, zone_device_id long"),
+    )
+    want = []
+    for o, s, t in hours:
+        found = [d for rs, rt, d in readings if s is not None and t is not None and (rs, rt) == (s, t)]
+        want += [(s, t, o, d) for d in found or [None]]
+    assert sorted(map(tuple, met.select("space_id", "date_time_key", "order_id", "zone_device_id").collect()), key=repr) == sorted(want, key=repr)
+    assert met.select(F.spark_partition_id()).distinct().count() >= 4 * spark.sparkContext.defaultParallelism
